@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import HOT_ROWS, hot_keys, salted_join
-from ..plans.staging import CONTEXT, amendment_fields, rate_fields
+from ..plans.staging import amendment_fields, rate_fields
+from ..schemas import RATE_SCHEDULE
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -141,6 +142,68 @@ def amendment_lines(
     return _with_context(typed, contracts, hot)
 
 
+def contract_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested contract records, one per order, built from the order row alone.
+
+    Contracts start on the first of a month.
+    """
+    orders = table(spark, folder, "orders").withColumn("k", F.col("o_orderkey"))
+    rates = """CASE WHEN k % 41 = 0 THEN NULL
+                    WHEN k % 43 = 0 THEN cast(array() AS {rate_type})
+                    ELSE transform(sequence(1, int(1 + k % 4)), i -> named_struct(
+      'service_category', CASE (k + i) % 4 WHEN 0 THEN NULL WHEN 1 THEN ' lab'
+                               WHEN 2 THEN lower(o_orderstatus) ELSE o_orderpriority END,
+      'cpt_code', CASE WHEN (k + i) % 13 = 0 THEN NULL ELSE concat('X', (k * 7 + i) % 500, ' ') END,
+      'description', CASE WHEN k % 2 = 0 THEN o_orderpriority END,
+      'rate_type', CASE i WHEN 1 THEN 'per_diem' WHEN 2 THEN 'Percentage'
+                          WHEN 3 THEN 'odd' ELSE NULL END,
+      'rate_amount', cast(CASE WHEN (k + i) % 29 = 0 THEN NULL WHEN (k + i) % 31 = 0 THEN 0
+                          WHEN i = 2 THEN k % 100 ELSE o_totalprice END AS decimal(12,2)),
+      'effective_date', CASE WHEN i = 2 THEN 'null' WHEN i = 3 THEN ''
+                             ELSE date_format(date_add(date(o_orderdate), i * 30), 'yyyy-MM-dd') END,
+      'rate_unit', CASE WHEN i = 1 THEN ' visit' END,
+      'modifier', CASE WHEN k % 9 = 0 THEN concat('M', i, ' ') END)) END"""
+    amendments = """CASE WHEN k % 3 = 0 THEN transform(sequence(1, int(1 + k % 2)), i -> named_struct(
+      'amendment_id', CASE WHEN k % 6 = 0 AND i = 1 THEN NULL ELSE concat('AMD-', i, ' ') END,
+      'amendment_date', CASE WHEN k % 5 = 0 THEN ''
+                             ELSE date_format(date_add(date(o_orderdate), 100 - i), 'yyyy-MM-dd') END,
+      'description', concat(' change ', i),
+      'rate_changes', o_orderpriority,
+      'effective_date', cast(NULL AS string),
+      'amendment_type', CASE WHEN k % 2 = 0 THEN 'extension' ELSE 'other' END)) END"""
+    rate_type = RATE_SCHEDULE.simpleString()
+    return orders.selectExpr(
+        "concat('CON-', k) AS contract_id",
+        "concat('Payer ', k % 7) AS payer_name",
+        "CASE WHEN k % 37 = 0 THEN NULL ELSE concat('pay', k % 7) END AS payer_id",
+        """CASE WHEN k % 59 = 0 THEN NULL WHEN k % 61 = 0 THEN '12345'
+                WHEN k % 67 = 0 THEN '12345678901' WHEN k % 71 = 0 THEN '12345abcde'
+                ELSE lpad(string(o_custkey), 10, '0') END AS provider_npi""",
+        "concat('Clinic', char(9), o_custkey) AS provider_name",
+        """CASE WHEN k % 17 = 0 THEN NULL WHEN k % 19 = 0 THEN 'null'
+                ELSE date_format(o_orderdate, 'yyyy-MM-01') END AS effective_date""",
+        """CASE WHEN k % 11 = 0 THEN NULL WHEN k % 23 = 0 THEN ''
+                ELSE date_format(date_add(date(o_orderdate), int(k % 900)), 'yyyy-MM-dd') END
+           AS termination_date""",
+        rates.format(rate_type=f"array<{rate_type}>") + " AS rate_schedules",
+        amendments + " AS amendments",
+        """named_struct(
+             'extracted_at', CASE WHEN k % 47 = 0 THEN NULL
+                                  ELSE date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss'Z'") END,
+             'confidence_score', cast(CASE WHEN k % 53 = 0 THEN 1.5 ELSE (k % 101) / 100 END
+                                      AS decimal(5,4)),
+             'source_file', concat('incoming/', k, '.pdf'),
+             'extractor_version', '1.0.0') AS extraction_metadata""",
+    )
+
+
+def reloaded_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents with every tenth one loaded a second time."""
+    once = contract_documents(spark, folder)
+    number = F.regexp_extract("contract_id", r"\d+", 0).cast("bigint")
+    return once.unionByName(once.where(number % 10 == 0))
+
+
 def contract_texts(spark: SparkSession, folder: str) -> DataFrame:
     """One document (text and tables) per order.
 
