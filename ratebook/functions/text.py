@@ -5,6 +5,12 @@ from pyspark.sql import functions as F
 
 # Texts that mean "no date" in the raw date columns.
 NO_DATE = ("", "null")
+# The Unicode whitespace characters.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def upper_trim(column: Column) -> Column:
@@ -33,12 +39,12 @@ def text_date(column: Column, strict: bool = True, default: Column | None = None
 
 def strip(column: Column) -> Column:
     """Remove whitespace of any kind from both ends (trim() removes spaces only)."""
-    return F.regexp_replace(column, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(column, F.lit(WHITESPACE))
 
 
 def initials(name: Column) -> Column:
     """Upper-case initials of the first two words."""
-    words = F.slice(F.split(strip(name), r"(?U)[\s\x1c-\x1f]+"), 1, 2)
+    words = F.slice(F.split(strip(name), f"[{WHITESPACE}]+"), 1, 2)
     return F.upper(F.array_join(F.transform(words, lambda w: F.left(w, F.lit(1))), ""))
 
 

@@ -32,3 +32,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that is read in fewer splits than there are cores.
+
+    A table of many splits, the usual case, is returned as it is. For plain
+    scans: counting the partitions of anything else could run a job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

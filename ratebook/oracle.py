@@ -479,8 +479,8 @@ TEXT_RATES = f"""
   SELECT source_file, NULL, 'C1', 'FEE_SCHEDULE', o_totalprice FROM texts WHERE k % 4 = 2"""
 
 
-def _first(text: str, patterns: tuple[str, ...]) -> str:
-    found = ", ".join(f"nullif(regexp_extract({text}, '{p}', 1, 'i'), '')" for p in patterns)
+def _first(text: str, patterns: tuple) -> str:
+    found = ", ".join(f"nullif(regexp_extract({text}, '{p}', 1, 'i'), '')" for p, _ in patterns)
     return f"coalesce({found})"
 
 

@@ -6,7 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.storage import new_folder, stored
+from .operators.storage import new_folder, spread, stored
 from .plans import build, extraction, intermediate, marts, staging
 from .plans.history import contract_history
 from .plans.validation import validate
@@ -380,7 +380,7 @@ def extract_amendments(spark: SparkSession, folder: str) -> DataFrame:
 
 def extract_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Prose of any length, mostly without contract terms."""
-    documents = testdata.table(spark, folder, "documents").selectExpr(
+    documents = spread(testdata.table(spark, folder, "documents")).selectExpr(
         "concat('documents/', doc_id) AS source_file",
         "text",
         "cast(NULL AS array<struct<headers:array<string>,rows:array<array<string>>>>) AS tables",

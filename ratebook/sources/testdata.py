@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import HOT_ROWS, hot_keys, salted_join
+from ..operators.storage import spread
 from ..plans.staging import amendment_fields, rate_fields
 from ..schemas import RATE_SCHEDULE
 
@@ -147,7 +148,7 @@ def contract_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     Contracts start on the first of a month.
     """
-    orders = table(spark, folder, "orders").withColumn("k", F.col("o_orderkey"))
+    orders = spread(table(spark, folder, "orders")).withColumn("k", F.col("o_orderkey"))
     rates = """CASE WHEN k % 41 = 0 THEN NULL
                     WHEN k % 43 = 0 THEN cast(array() AS {rate_type})
                     ELSE transform(sequence(1, int(1 + k % 4)), i -> named_struct(
@@ -211,7 +212,7 @@ def contract_texts(spark: SparkSession, folder: str) -> DataFrame:
     and every way of missing it, occurs.
     """
     joined = (
-        table(spark, folder, "orders")
+        spread(table(spark, folder, "orders"))
         .join(
             table(spark, folder, "customer").select(
                 F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
