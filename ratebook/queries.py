@@ -185,17 +185,27 @@ def dim_provider(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(marts.dim_provider(contracts, AS_OF))
 
 
+def _service_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Only what the service dimension reads; without a line number there is no window."""
+    contracts = staging.stg_contracts(testdata.raw_contracts(spark, folder))
+    rates = _rates(spark, folder, contracts, testdata.hot_rate_contracts(spark, folder))
+    needed = rates.select(
+        "contract_id", "provider_npi", "service_category", "cpt_code", "rate_amount"
+    )
+    return stored(needed, "service_rates")
+
+
 def dim_service(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(marts.dim_service(_staged(spark, folder).rates))
+    return _plain(marts.dim_service(_service_rates(spark, folder)))
 
 
 def dim_service_ref(spark: SparkSession, folder: str) -> DataFrame:
-    rates = _staged(spark, folder).rates
+    rates = _service_rates(spark, folder)
     return _plain(marts.dim_service(rates, _ref_categories(spark, folder)))
 
 
 def dim_service_deduped(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(marts.dim_service(_staged(spark, folder).rates, dedupe=True))
+    return _plain(marts.dim_service(_service_rates(spark, folder), dedupe=True))
 
 
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:

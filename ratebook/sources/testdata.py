@@ -30,7 +30,7 @@ def raw_contracts(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.min("l_suppkey").alias("s_suppkey"))
     )
     joined = (
-        table(spark, folder, "orders")
+        spread(table(spark, folder, "orders"))
         .join(
             table(spark, folder, "customer").select(
                 F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
@@ -98,7 +98,7 @@ def rate_lines(
 ) -> DataFrame:
     """Line items as raw rate lines of the staged `contracts`."""
     lines = (
-        table(spark, folder, "lineitem")
+        spread(table(spark, folder, "lineitem"))
         .where("l_orderkey % 41 <> 0 AND l_orderkey % 97 <> 0")
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .selectExpr(
