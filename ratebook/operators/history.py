@@ -6,7 +6,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
+from .skew import Hot, salted_join
 
 
 def _versions(rows: DataFrame, key: str, at) -> DataFrame:
@@ -28,13 +28,15 @@ def apply_snapshot(
     key: str,
     check: Sequence[str],
     at: datetime,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """History after comparing `current` with the open versions on the `check` columns.
 
     New or changed keys get a new version, the version they replace is closed
     at `at`, everything else stays. Keys missing from `current` stay open.
     Loading the same rows twice adds nothing. Write the result to a new path
-    or table, never over the history it reads.
+    or table, never over the history it reads. `hot`: keys that very many rows
+    share.
     """
     at = F.lit(at).cast("timestamp")
     if history is None:
@@ -48,11 +50,12 @@ def apply_snapshot(
     differs = F.lit(False)
     for name in check:
         differs = differs | ~F.col(name).eqNullSafe(F.col(f"_old_{name}"))
-    changed = current.join(open_versions, key, "left").where(F.col("_known").isNull() | differs)
+    joined = salted_join(current, open_versions, key, "left", hot)
+    changed = joined.where(F.col("_known").isNull() | differs)
 
     replaced = changed.where(F.col("_known")).select(key).distinct().withColumn("_end", at)
     kept = (
-        history.join(replaced, key, "left")
+        salted_join(history, replaced, key, "left", hot)
         .withColumn("dbt_valid_to", F.coalesce("dbt_valid_to", "_end"))
         .drop("_end")
         .select(*history.columns)

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import hot_table, repeat_rows
+from .skew import Hot, hot_table, repeat_rows, slices_for
 from .storage import stored
 
 
@@ -18,19 +18,23 @@ def row_numbers(
     key: str,
     order: Sequence[str],
     out: str,
-    hot: Sequence = (),
+    hot: Hot | None = None,
     slices: int | None = None,
 ) -> DataFrame:
     """`row_number()` per `key`, ascending, NULLs last.
 
     Keys listed in `hot` have too many rows for one task: they are numbered
-    over range slices. All others use the window.
+    over range slices, as many as their rows ask for. All others use the window.
     """
     window = Window.partitionBy(key).orderBy(*_ascending(order))
     number = F.row_number().over(window).cast("bigint")
     if not hot:
         return df.withColumn(out, number)
-    marks = hot_table(df, key, hot)
+    marks = hot_table(df, key, hot).select(key)
+    slices = slices or max(
+        slices_for(sum(hot.values())),
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+    )
     usual = df.join(marks, key, "left_anti").withColumn(out, number)
     return usual.unionByName(
         _sliced_numbers(df.join(marks, key, "left_semi"), key, order, out, slices)
@@ -46,9 +50,7 @@ def _sliced_numbers(df, key, order, out, slices):
     of each key per slice (few rows: slices + keys), the other numbers the
     rows inside a slice and adds the count of the slices before it.
     """
-    spark = df.sparkSession
     columns = df.columns
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in columns if c != key and c not in order]
     order = list(order) + rest
 

@@ -1,8 +1,8 @@
 """Joins and repetition that do not depend on evenly spread keys."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,11 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 100_000
 # Rows of a narrow dimension that fit every executor.
 BROADCAST_ROWS = 500_000
-SALTS = 64
 _STEP = 65_536
 
+# Hot keys and their number of rows.
+Hot = Mapping
+
 
 def hot_keys(
     df: DataFrame,
@@ -22,26 +24,30 @@ def hot_keys(
     weight: Column | None = None,
     min_rows: int = HOT_ROWS,
     max_keys: int = HOT_KEYS,
-) -> list:
-    """Keys with more than `min_rows` rows, heaviest first, at most `max_keys` of them.
+) -> dict:
+    """Keys with more than `min_rows` rows and their row counts, at most `max_keys` of them.
 
     One job that reads the key column only and combines before the shuffle.
     A key that is not listed is still handled, by the ordinary plan.
     """
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(rows.alias("n"))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(rows.cast("bigint").alias("n"))
     heavy = counts.where(F.col("n") > min_rows).orderBy(F.desc("n")).limit(max_keys)
-    return [row[0] for row in heavy.select(key).collect()]
+    return dict(map(tuple, heavy.select(key, "n").collect()))
 
 
-def key_table(spark: SparkSession, name: str, data_type: T.DataType, keys: Sequence) -> DataFrame:
-    schema = T.StructType([T.StructField(name, data_type)])
-    return spark.createDataFrame([(k,) for k in keys], schema)
+def slices_for(rows: int, per_slice: int = HOT_ROWS) -> int:
+    """Tasks to spread that many rows over, two at least."""
+    return max(2, -(-rows // per_slice))
 
 
-def hot_table(df: DataFrame, key: str, hot: Sequence) -> DataFrame:
-    """The hot keys as a broadcast table; its size is bounded by `hot_keys`."""
-    return F.broadcast(key_table(df.sparkSession, key, df.schema[key].dataType, hot))
+def hot_table(df: DataFrame, key: str, hot: Hot, per_slice: int = HOT_ROWS) -> DataFrame:
+    """The hot keys and their number of salts, to broadcast; `hot_keys` bounds its size."""
+    schema = T.StructType(
+        [T.StructField(key, df.schema[key].dataType), T.StructField("_salts", T.IntegerType())]
+    )
+    rows = [(k, slices_for(n, per_slice)) for k, n in hot.items()]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -53,30 +59,34 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str,
-    hot: Sequence = (),
-    salts: int = SALTS,
+    hot: Hot | None = None,
+    per_slice: int = HOT_ROWS,
 ) -> DataFrame:
-    """Equi-join (inner or left) that spreads the hot keys of `left` over `salts` tasks.
+    """Equi-join (inner or left) that spreads the hot keys of `left` over many tasks.
 
-    Only right rows of hot keys are repeated, once per salt. The salt is the
-    id of the left partition: it stays the same when a lost task is run again,
-    and it also spreads exact copies of a row.
+    A hot key gets a salt per `per_slice` rows; only right rows of hot keys are
+    repeated, once per salt. The salt comes from the id of the left partition: it
+    stays the same when a lost task is run again, and it also spreads exact
+    copies of a row.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join does not support {how!r}")
     if not hot:
         return left.join(right, key, how)
-    marks = hot_table(left, key, hot).withColumn("_hot", F.lit(True))
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    marks = hot_table(left, key, hot, per_slice)
     spread = left.join(marks, key, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0),
+        F.when(
+            F.col("_salts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_salts"))
+        ).otherwise(0),
     )
+    last = F.coalesce(F.col("_salts") - 1, F.lit(0))
     repeated = right.join(marks, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
+        "_salt", F.explode(F.sequence(F.lit(0), last))
     )
     columns = left.columns + [c for c in right.columns if c != key]
-    return spread.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).select(columns)
+    joined = spread.drop("_salts").join(repeated.drop("_salts"), [key, "_salt"], how)
+    return joined.select(columns)
 
 
 def lookup_join(
@@ -96,8 +106,10 @@ def lookup_join(
         return left.join(F.broadcast(table), key, how)
     hot = hot_keys(left, key, min_rows=min_hot_rows)
     if how == "inner":
-        return salted_join(left, table, key, how, hot)
-    joined = salted_join(left.where(F.col(key).isNotNull()), table, key, how, hot)
+        return salted_join(left, table, key, how, hot, min_hot_rows)
+    joined = salted_join(
+        left.where(F.col(key).isNotNull()), table, key, how, hot, min_hot_rows
+    )
     absent = [
         F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name != key
     ]

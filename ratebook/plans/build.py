@@ -25,8 +25,8 @@ class Staged:
     rates: DataFrame
     amendments: DataFrame
     unique_contracts: bool
-    hot_rates: list = field(default_factory=list)
-    hot_contracts: list = field(default_factory=list)
+    hot_rates: dict = field(default_factory=dict)
+    hot_contracts: dict = field(default_factory=dict)
 
 
 def contract_ids_unique(contracts: DataFrame) -> bool:

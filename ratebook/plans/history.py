@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from ..operators.history import apply_snapshot
+from ..operators.skew import Hot
 
 # Key and compared columns of the contract history.
 KEY = "contract_id"
@@ -19,7 +20,9 @@ CHECKED = (
 )
 
 
-def contract_history(history: DataFrame | None, enriched: DataFrame, at: datetime) -> DataFrame:
+def contract_history(
+    history: DataFrame | None, enriched: DataFrame, at: datetime, hot: Hot | None = None
+) -> DataFrame:
     """`enriched` is `int_contracts_enriched`, where the compared columns exist."""
     current = enriched.select(
         KEY,
@@ -30,4 +33,4 @@ def contract_history(history: DataFrame | None, enriched: DataFrame, at: datetim
         "source_file",
         "loaded_at",
     )
-    return apply_snapshot(history, current, KEY, CHECKED, at)
+    return apply_snapshot(history, current, KEY, CHECKED, at, hot)

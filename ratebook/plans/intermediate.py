@@ -1,13 +1,12 @@
 """Contracts with statistics and status; normalised rates."""
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.status import as_of_column, contract_status, normalized_rate, rate_status
-from ..operators.skew import lookup_join, repeat_rows, salted_join
+from ..operators.skew import Hot, lookup_join, repeat_rows, salted_join
 
 
 def rate_stats(rates: DataFrame) -> DataFrame:
@@ -32,7 +31,7 @@ def int_contracts_enriched(
     rates: DataFrame,
     amendments: DataFrame,
     as_of: date | None = None,
-    hot: Sequence[str] = (),
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Contracts with duration, status, rate and amendment statistics.
 
@@ -87,7 +86,7 @@ def int_rates_normalized(
     contracts: DataFrame | None = None,
     ref_categories: DataFrame | None = None,
     as_of: date | None = None,
-    hot: Sequence[str] = (),
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Rate lines with normalised rate, rate status and contract status.
 

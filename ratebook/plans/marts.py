@@ -1,6 +1,5 @@
 """Star schema: five dimensions and the fact."""
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -8,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import md5_key, surrogate_key
 from ..functions.status import as_of_column, dated_status, open_ended_status
-from ..operators.skew import lookup_join, repeat_rows, salted_join
+from ..operators.skew import Hot, lookup_join, repeat_rows, salted_join
 from .intermediate import with_category_names
 
 
@@ -214,7 +213,7 @@ def fact_contracted_rates(
     services: DataFrame,
     dates: DataFrame,
     contracts: DataFrame | None = None,
-    hot: Sequence[str] = (),
+    hot: Hot | None = None,
 ) -> DataFrame:
     """One row per rate line and matching dimension rows.
 

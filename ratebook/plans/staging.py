@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import md5_key
 from ..functions.text import tabs_to_spaces, text_date, upper_trim, varchar
 from ..operators.ranking import row_numbers
+from ..operators.skew import Hot
 
 # Width of the text fields of a rate line and of an amendment.
 RATE_TEXT = {
@@ -156,7 +157,7 @@ def numbered_amendments_of_unique_contracts(contracts: DataFrame, strict: bool =
 
 
 def stg_rate_schedules(
-    lines: DataFrame, hot: Sequence[str] = (), strict: bool = True
+    lines: DataFrame, hot: Hot | None = None, strict: bool = True
 ) -> DataFrame:
     """Rate lines with a positive amount, numbered per contract.
 
@@ -203,7 +204,7 @@ def _rate_columns(numbered: DataFrame, strict: bool) -> DataFrame:
     )
 
 
-def stg_amendments(lines: DataFrame, hot: Sequence[str] = (), strict: bool = True) -> DataFrame:
+def stg_amendments(lines: DataFrame, hot: Hot | None = None, strict: bool = True) -> DataFrame:
     """Amendments numbered per contract by the date text, ties broken as above."""
     order = [*AMENDMENT_FIELDS, *CONTEXT]
     return _amendment_columns(

@@ -6,6 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.skew import hot_keys
 from .operators.storage import new_folder, spread, stored
 from .plans import build, extraction, intermediate, marts, staging
 from .plans.history import contract_history
@@ -43,7 +44,7 @@ def _stored_contracts(spark: SparkSession, folder: str) -> DataFrame:
     return stored(staging.stg_contracts(testdata.raw_contracts(spark, folder)), "stg_contracts")
 
 
-def _rates(spark: SparkSession, folder: str, contracts: DataFrame, hot: list) -> DataFrame:
+def _rates(spark: SparkSession, folder: str, contracts: DataFrame, hot: dict) -> DataFrame:
     return staging.stg_rate_schedules(testdata.rate_lines(spark, folder, contracts, hot), hot)
 
 
@@ -285,8 +286,9 @@ def contract_history_two_loads(spark: SparkSession, folder: str) -> DataFrame:
             "contract_status": F.when(F.col("number") % 15 == 0, "EXPIRED").otherwise("ACTIVE"),
         }
     )
+    hot = hot_keys(contracts, "contract_id")
     history = stored(contract_history(None, first, FIRST_LOAD), "contract_history")
-    return contract_history(history, second, SECOND_LOAD)
+    return contract_history(history, second, SECOND_LOAD, hot)
 
 
 # --- nested records, JSON, validation --------------------------------------

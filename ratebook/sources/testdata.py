@@ -67,7 +67,7 @@ def raw_contracts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _with_context(lines: DataFrame, contracts: DataFrame, hot: list) -> DataFrame:
+def _with_context(lines: DataFrame, contracts: DataFrame, hot: dict) -> DataFrame:
     headers = contracts.select(
         "contract_id",
         "payer_id",
@@ -78,23 +78,23 @@ def _with_context(lines: DataFrame, contracts: DataFrame, hot: list) -> DataFram
     return salted_join(lines, headers, "contract_id", "inner", hot)
 
 
-def _hot_contracts(df: DataFrame, key: str, min_rows: int) -> list[str]:
-    return [f"CON-{k}" for k in hot_keys(df, key, min_rows=min_rows)]
+def _hot_contracts(df: DataFrame, key: str, min_rows: int) -> dict[str, int]:
+    return {f"CON-{k}": n for k, n in hot_keys(df, key, min_rows=min_rows).items()}
 
 
-def hot_rate_contracts(spark: SparkSession, folder: str, min_rows: int = HOT_ROWS) -> list[str]:
+def hot_rate_contracts(spark: SparkSession, folder: str, min_rows: int = HOT_ROWS) -> dict[str, int]:
     return _hot_contracts(table(spark, folder, "lineitem"), "l_orderkey", min_rows)
 
 
 def hot_amendment_contracts(
     spark: SparkSession, folder: str, min_rows: int = HOT_ROWS
-) -> list[str]:
+) -> dict[str, int]:
     events = table(spark, folder, "events").selectExpr("event_id DIV 3 AS ok")
     return _hot_contracts(events, "ok", min_rows)
 
 
 def rate_lines(
-    spark: SparkSession, folder: str, contracts: DataFrame, hot: list | None = None
+    spark: SparkSession, folder: str, contracts: DataFrame, hot: dict | None = None
 ) -> DataFrame:
     """Line items as raw rate lines of the staged `contracts`."""
     lines = (
@@ -125,7 +125,7 @@ def rate_lines(
 
 
 def amendment_lines(
-    spark: SparkSession, folder: str, contracts: DataFrame, hot: list | None = None
+    spark: SparkSession, folder: str, contracts: DataFrame, hot: dict | None = None
 ) -> DataFrame:
     """Events as raw amendments of the staged `contracts`, three per contract."""
     lines = table(spark, folder, "events").selectExpr(

@@ -21,15 +21,15 @@ def _counted(df):
 
 def test_hot_keys_finds_the_heavy_key_only(spark):
     df = _lines(spark)
-    assert hot_keys(df, "k", min_rows=500) == ["a"]
-    assert hot_keys(df, "k", min_rows=10_000) == []
-    assert hot_keys(df, "k", weight=F.lit(10), min_rows=10_000) == ["a"]
+    assert hot_keys(df, "k", min_rows=500) == {"a": 4000}
+    assert hot_keys(df, "k", min_rows=10_000) == {}
+    assert hot_keys(df, "k", weight=F.lit(10), min_rows=10_000) == {"a": 40_000}
 
 
 def test_sliced_row_numbers_equal_the_window(spark):
     df = _lines(spark)
     plain = row_numbers(df, "k", ["c", "d"], "n")
-    sliced = row_numbers(df, "k", ["c", "d"], "n", hot=["a", "k1", "absent"], slices=7)
+    sliced = row_numbers(df, "k", ["c", "d"], "n", hot={"a": 4000, "k1": 50, "absent": 1}, slices=7)
     assert _counted(plain) == _counted(sliced)
 
 
@@ -48,7 +48,7 @@ def test_salted_join_equals_the_join(spark):
     )
     for how in ("inner", "left"):
         plain = left.join(right, "k", how).select("k", "c", "d", "v")
-        salted = salted_join(left, right, "k", how, hot=["a", "k2"], salts=5)
+        salted = salted_join(left, right, "k", how, hot={"a": 4000, "k2": 40}, per_slice=500)
         assert salted.columns == ["k", "c", "d", "v"]
         assert _counted(plain) == _counted(salted)
 
