@@ -96,15 +96,18 @@ def lookup_join(
     how: str,
     max_rows: int = BROADCAST_ROWS,
     min_hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join a dimension: broadcast when it has at most `max_rows` rows, else salted.
 
     `table` should be cheap to count (a stored table). In the second case rows
     without a key skip the shuffle: a left join only adds NULL columns to them.
+    Hot keys are looked for in `counted`, a table `left` comes from, so that the
+    joins before this one do not run for it.
     """
     if is_small(table, max_rows):
         return left.join(F.broadcast(table), key, how)
-    hot = hot_keys(left, key, min_rows=min_hot_rows)
+    hot = hot_keys(left if counted is None else counted, key, min_rows=min_hot_rows)
     if how == "inner":
         return salted_join(left, table, key, how, hot, min_hot_rows)
     joined = salted_join(
@@ -123,7 +126,7 @@ def repeat_rows(df: DataFrame, times: str, index: str, slices: int | None = None
     over that many tasks before they are expanded, so no task emits a whole
     group of copies.
     """
-    last_step = F.floor((F.col(times) - 1) / _STEP).cast("bigint")
+    last_step = F.expr(f"(`{times}` - 1) DIV {_STEP}")
     steps = df.where(F.col(times) > 0).withColumn(
         "_step", F.explode(F.sequence(F.lit(0).cast("bigint"), last_step))
     )

@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -34,6 +36,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Store several tables at the same time, so small jobs do not wait for one another."""
+    done: dict[str, DataFrame] = {}
+    failed: list[BaseException] = []
+
+    def store(name: str, df: DataFrame) -> None:
+        try:
+            done[name] = stored(df, name)
+        except BaseException as error:
+            failed.append(error)
+
+    for df in list(tables.values())[:1]:
+        shared_folder(df.sparkSession)
+    threads = [InheritableThread(target=store, args=item) for item in tables.items()]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if failed:
+        raise failed[0]
+    return {name: done[name] for name in tables}
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a table that is read in fewer splits than there are cores.
 

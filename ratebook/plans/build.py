@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import run_checks
 from ..operators.skew import HOT_ROWS, hot_keys
-from ..operators.storage import stored
+from ..operators.storage import stored, stored_all
 from . import intermediate, marts, staging
 from .checks import all_checks
 
-# Range of the date dimension unless the caller gives another.
+# First and last day of the date dimension unless the caller gives
+# others.
 FIRST_DAY = date(2020, 1, 1)
-LAST_DAY = date(2030, 12, 31)
+LAST_DAY = date(2030, 12, 30)
 
 
 @dataclass(frozen=True)
@@ -46,9 +47,8 @@ def stage(raw: DataFrame, strict: bool = True, min_hot_rows: int = HOT_ROWS) ->
     if contract_ids_unique(contracts):
         rates = staging.numbered_rates_of_unique_contracts(contracts, strict)
         amendments = staging.numbered_amendments_of_unique_contracts(contracts, strict)
-        return Staged(
-            contracts, stored(rates, "stg_rate_schedules"), stored(amendments, "stg_amendments"), True
-        )
+        lines = stored_all({"stg_rate_schedules": rates, "stg_amendments": amendments})
+        return Staged(contracts, lines["stg_rate_schedules"], lines["stg_amendments"], True)
     hot_rates = hot_keys(
         contracts, "contract_id", F.greatest(F.size("rate_schedules"), F.lit(0)), min_hot_rows
     )
@@ -59,10 +59,11 @@ def stage(raw: DataFrame, strict: bool = True, min_hot_rows: int = HOT_ROWS) ->
     amendments = staging.stg_amendments(
         staging.amendment_lines(contracts), hot_amendments, strict
     )
+    lines = stored_all({"stg_rate_schedules": rates, "stg_amendments": amendments})
     return Staged(
         contracts,
-        stored(rates, "stg_rate_schedules"),
-        stored(amendments, "stg_amendments"),
+        lines["stg_rate_schedules"],
+        lines["stg_amendments"],
         False,
         hot_rates,
         hot_keys(contracts, "contract_id", min_rows=min_hot_rows),
@@ -110,20 +111,19 @@ def build(
 ) -> dict[str, DataFrame]:
     """Intermediate and mart tables by name; dimensions are stored, the fact is lazy."""
     spark = staged.contracts.sparkSession
-    enriched = stored(
-        intermediate.int_contracts_enriched(
-            staged.contracts, staged.rates, staged.amendments, as_of, staged.hot_contracts
-        ),
-        "int_contracts_enriched",
+    first = stored_all(
+        {
+            "int_contracts_enriched": intermediate.int_contracts_enriched(
+                staged.contracts, staged.rates, staged.amendments, as_of, staged.hot_contracts
+            ),
+            "dim_payer": marts.dim_payer(staged.contracts, ref_payers, as_of),
+            "dim_provider": marts.dim_provider(staged.contracts, as_of),
+            "dim_service": marts.dim_service(staged.rates, ref_categories),
+            "dim_date": marts.dim_date(spark, first_day, last_day, as_of),
+        }
     )
-    dimensions = {
-        "dim_contract": marts.dim_contract(enriched),
-        "dim_payer": marts.dim_payer(staged.contracts, ref_payers, as_of),
-        "dim_provider": marts.dim_provider(staged.contracts, as_of),
-        "dim_service": marts.dim_service(staged.rates, ref_categories),
-        "dim_date": marts.dim_date(spark, first_day, last_day, as_of),
-    }
-    dimensions = {name: stored(df, name) for name, df in dimensions.items()}
+    enriched = first.pop("int_contracts_enriched")
+    dimensions = {"dim_contract": stored(marts.dim_contract(enriched), "dim_contract"), **first}
     rates = normalized_rates(staged, enriched, ref_categories, as_of)
     fact = fact_table(staged, rates, dimensions)
     return {

@@ -240,13 +240,14 @@ def fact_contracted_rates(
         F.col("full_date").alias("contract_termination_date"),
         F.col("date_key").alias("termination_date_key"),
     )
-    lines = lookup_join(lines, payers.select("payer_key", "payer_id"), "payer_id", "inner")
-    lines = lookup_join(lines, starts, "rate_effective_date", "left")
-    lines = lookup_join(lines, ends, "contract_termination_date", "left")
-    lines = lookup_join(lines, services.select("service_key", "cpt_code"), "cpt_code", "left")
-    lines = lookup_join(
-        lines, providers.select("provider_key", "provider_npi"), "provider_npi", "inner"
-    )
+    for table, key, how in (
+        (payers.select("payer_key", "payer_id"), "payer_id", "inner"),
+        (starts, "rate_effective_date", "left"),
+        (ends, "contract_termination_date", "left"),
+        (services.select("service_key", "cpt_code"), "cpt_code", "left"),
+        (providers.select("provider_key", "provider_npi"), "provider_npi", "inner"),
+    ):
+        lines = lookup_join(lines, table, key, how, counted=rates)
     return lines.select(
         md5_key(F.concat("rate_schedule_id", F.lit("-"), "contract_key")).alias("rate_key"),
         "contract_key",

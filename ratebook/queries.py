@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.skew import hot_keys
-from .operators.storage import new_folder, spread, stored
+from .operators.storage import new_folder, spread, stored, stored_all
 from .plans import build, extraction, intermediate, marts, staging
 from .plans.history import contract_history
 from .plans.validation import validate
@@ -66,9 +66,17 @@ def stg_amendments(spark: SparkSession, folder: str) -> DataFrame:
 def _staged(spark: SparkSession, folder: str, amendments: bool = False) -> build.Staged:
     contracts = _stored_contracts(spark, folder)
     hot = testdata.hot_rate_contracts(spark, folder)
-    rates = stored(_rates(spark, folder, contracts, hot), "stg_rate_schedules")
-    changes = stored(_amendments(spark, folder, contracts), "stg_amendments") if amendments else None
-    return build.Staged(contracts, rates, changes, build.contract_ids_unique(contracts), hot)
+    lines = {"stg_rate_schedules": _rates(spark, folder, contracts, hot)}
+    if amendments:
+        lines["stg_amendments"] = _amendments(spark, folder, contracts)
+    lines = stored_all(lines)
+    return build.Staged(
+        contracts,
+        lines["stg_rate_schedules"],
+        lines.get("stg_amendments"),
+        build.contract_ids_unique(contracts),
+        hot,
+    )
 
 
 # --- intermediate ----------------------------------------------------------
@@ -233,7 +241,7 @@ def fact_contracted_rates(spark: SparkSession, folder: str) -> DataFrame:
             "int_contracts_enriched",
         )
         dimensions["dim_contract"] = marts.dim_contract(enriched)
-    dimensions = {name: stored(df, name) for name, df in dimensions.items()}
+    dimensions = stored_all(dimensions)
     rates = build.normalized_rates(staged, enriched, None, AS_OF)
     return _plain(build.fact_table(staged, rates, dimensions))
 
