@@ -18,7 +18,6 @@ from ratebook.queries import QUERIES  # noqa: E402
 HEADLINE = (
     "stg_contracts",
     "stg_rate_schedules",
-    "stg_amendments",
     "int_contracts_enriched",
     "int_rates_normalized",
     "dim_payer",
@@ -26,13 +25,10 @@ HEADLINE = (
     "dim_service",
     "fact_contracted_rates",
     "fact_of_documents",
-    "fact_of_reloaded_documents",
     "dq_report",
     "contract_history_two_loads",
-    "rates_of_documents",
     "validate_contracts",
     "extract_fields",
-    "extract_rate_rows",
     "extract_documents",
     "json_roundtrip",
     "stream_documents",

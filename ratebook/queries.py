@@ -22,6 +22,7 @@ EXTRACTED_AT = datetime(2024, 1, 15, 10, 30)
 FIRST_LOAD = datetime(2024, 1, 1)
 SECOND_LOAD = datetime(2024, 2, 1)
 BUCKET = "raw"
+FILES_PER_BATCH = 1000
 
 
 def _plain(df: DataFrame, *drop: str) -> DataFrame:
@@ -423,7 +424,8 @@ def stream_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
     testdata.messages(spark, folder).write.text(source)
     writer = ingest.message_writer(BUCKET, out, rejects)
-    ingest.start(ingest.message_stream(spark, source), writer, checkpoint, True).awaitTermination()
+    stream = ingest.message_stream(spark, source, FILES_PER_BATCH)
+    ingest.start(stream, writer, checkpoint, True).awaitTermination()
     accepted = spark.read.parquet(out).select("object_key", F.lit("accepted").alias("outcome"))
     rejected = spark.read.parquet(rejects).select(
         F.lit(None).cast("string").alias("object_key"), "outcome"
@@ -440,7 +442,8 @@ def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
     testdata.contract_texts(spark, folder).write.json(source)
     writer = ingest.document_writer(out, rejects, F.lit(EXTRACTED_AT).cast("timestamp"))
-    ingest.start(ingest.document_stream(spark, source), writer, checkpoint, True).awaitTermination()
+    stream = ingest.document_stream(spark, source, FILES_PER_BATCH)
+    ingest.start(stream, writer, checkpoint, True).awaitTermination()
     return _fields(spark.read.parquet(out))
 
 
