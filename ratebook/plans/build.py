@@ -20,7 +20,10 @@ LAST_DAY = date(2030, 12, 30)
 
 @dataclass(frozen=True)
 class Staged:
-    """Stored staging tables and what is known about their contract ids."""
+    """Stored staging tables and what is known about their contract ids.
+
+    `contracts` are the headers: their nested columns live on in the lines.
+    """
 
     contracts: DataFrame
     rates: DataFrame
@@ -36,37 +39,46 @@ def contract_ids_unique(contracts: DataFrame) -> bool:
     return repeated.limit(1).count() == 0
 
 
+def _lines_per_contract(contracts: DataFrame, array: str, element: str, min_rows: int) -> dict:
+    """Contracts with very many array elements; reads one field of the elements."""
+    return hot_keys(
+        contracts, "contract_id", F.greatest(F.size(f"{array}.{element}"), F.lit(0)), min_rows
+    )
+
+
 def stage(raw: DataFrame, strict: bool = True, min_hot_rows: int = HOT_ROWS) -> Staged:
     """Staging tables from nested raw contracts.
 
     With unique contract ids every line is numbered inside its own row and
     nothing is shuffled. Otherwise the lines of a contract meet in a window, and
-    contracts too large for one task are numbered over slices.
+    contracts too large for one task are numbered over slices. The nested
+    columns are read where they are unnested and never copied.
     """
-    contracts = stored(staging.stg_contracts(raw, strict), "stg_contracts")
-    if contract_ids_unique(contracts):
+    contracts = staging.stg_contracts(raw, strict)
+    headers = stored(contracts.drop(*staging.NESTED), "stg_contracts")
+    unique = contract_ids_unique(headers)
+    hot_rates, hot_contracts = {}, {}
+    if unique:
         rates = staging.numbered_rates_of_unique_contracts(contracts, strict)
         amendments = staging.numbered_amendments_of_unique_contracts(contracts, strict)
-        lines = stored_all({"stg_rate_schedules": rates, "stg_amendments": amendments})
-        return Staged(contracts, lines["stg_rate_schedules"], lines["stg_amendments"], True)
-    hot_rates = hot_keys(
-        contracts, "contract_id", F.greatest(F.size("rate_schedules"), F.lit(0)), min_hot_rows
-    )
-    hot_amendments = hot_keys(
-        contracts, "contract_id", F.greatest(F.size("amendments"), F.lit(0)), min_hot_rows
-    )
-    rates = staging.stg_rate_schedules(staging.rate_lines(contracts), hot_rates, strict)
-    amendments = staging.stg_amendments(
-        staging.amendment_lines(contracts), hot_amendments, strict
-    )
+    else:
+        hot_contracts = hot_keys(headers, "contract_id", min_rows=min_hot_rows)
+        hot_rates = _lines_per_contract(contracts, "rate_schedules", "cpt_code", min_hot_rows)
+        hot_amendments = _lines_per_contract(
+            contracts, "amendments", "amendment_id", min_hot_rows
+        )
+        rates = staging.stg_rate_schedules(staging.rate_lines(contracts), hot_rates, strict)
+        amendments = staging.stg_amendments(
+            staging.amendment_lines(contracts), hot_amendments, strict
+        )
     lines = stored_all({"stg_rate_schedules": rates, "stg_amendments": amendments})
     return Staged(
-        contracts,
+        headers,
         lines["stg_rate_schedules"],
         lines["stg_amendments"],
-        False,
+        unique,
         hot_rates,
-        hot_keys(contracts, "contract_id", min_rows=min_hot_rows),
+        hot_contracts,
     )
 
 

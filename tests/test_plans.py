@@ -398,10 +398,14 @@ def test_schemaless_nested_columns(spark, raw):
 def test_loading_twice_adds_nothing(spark, raw, tmp_path):
     path = str(tmp_path / "raw")
     known = raw.where("extraction_metadata.source_file IS NOT NULL")
-    known.limit(1).write.parquet(path)
+    files.append_raw(known.where("contract_id = 'C1'").drop("loaded_at"), path)
+    assert files.read_raw(spark, path).count() == 1
     files.append_raw(known.drop("loaded_at"), path)
     files.append_raw(known.drop("loaded_at"), path)
-    assert spark.read.parquet(path).count() == 2
+    assert files.read_raw(spark, path).count() == 2
+    unnamed = raw.where("extraction_metadata.source_file IS NULL").drop("loaded_at")
+    files.append_raw(unnamed, path)
+    assert files.read_raw(spark, path).count() == 4
 
 
 def test_seeds(spark, tmp_path):
