@@ -3,10 +3,10 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality_rules, token_counts
+from . import chat, packing, ppm, quality_rules, token_counts
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,7 +41,15 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.score(_table(spark, folder, "documents"), _fold(7) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op10_lm_scoring)
 }
 ORACLE: dict[str, str] = {}
