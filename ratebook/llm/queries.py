@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, ppm, quality_rules, token_counts
+from . import chat, packing, ppm, quality_rules, token_counts, toxicity
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -45,11 +45,17 @@ def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(5) == 0
+    )
+
+
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.score(_table(spark, folder, "documents"), _fold(7) == 2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op10_lm_scoring)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op8_toxicity, op10_lm_scoring)
 }
 ORACLE: dict[str, str] = {}
