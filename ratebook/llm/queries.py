@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, ppm, quality_rules, token_counts, toxicity
+from . import chat, decontamination, packing, ppm, quality_rules, token_counts, toxicity
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -45,6 +45,13 @@ def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+    return found.drop("key")
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(
         _table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(5) == 0
@@ -56,6 +63,40 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op8_toxicity, op10_lm_scoring)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op6_decontamination, op8_toxicity, op10_lm_scoring)
 }
-ORACLE: dict[str, str] = {}
+
+_DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT item, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i, w
+  FROM b WHERE len(w) > 0),
+bs AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM bw),
+ns AS (SELECT DISTINCT n FROM bs),
+dw AS (
+  SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n),
+h AS (
+  SELECT doc_id, i, n, s FROM (
+    SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM dw)
+  WHERE (n, s) IN (SELECT n, s FROM bs)),
+p AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM h) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM h JOIN bs USING (n, s)) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op6_decontamination": _DECONTAMINATION}
