@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, packing, ppm, quality_rules, token_counts, toxicity
+from . import chat, decontamination, packing, ppm, quality_rules, substring_dedup, token_counts, toxicity
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -45,6 +45,10 @@ def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup_windows(_table(spark, folder, "documents")).drop("kept")
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
@@ -63,7 +67,7 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op6_decontamination, op8_toxicity, op10_lm_scoring)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op8_toxicity, op10_lm_scoring)
 }
 
 _DECONTAMINATION = r"""
