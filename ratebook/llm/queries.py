@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, packing, ppm, quality_rules, substring_dedup, token_counts, toxicity
+from . import chat, decontamination, packing, ppm, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -56,6 +56,10 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("key")
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_strings(_table(spark, folder, "documents")).drop("kept", "key")
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(
         _table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(5) == 0
@@ -67,7 +71,7 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op8_toxicity, op10_lm_scoring)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op7_suffix_dedup, op8_toxicity, op10_lm_scoring)
 }
 
 _DECONTAMINATION = r"""
