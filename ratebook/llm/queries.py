@@ -6,21 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, packing, ppm, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from . import chat, decontamination, ngram_join, packing, ppm, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_table(spark, folder, "documents"), VOCABULARY)
+    return packing.pack(table(spark, folder, "documents"), VOCABULARY)
 
 
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.token_counts(_table(spark, folder, "documents"), VOCABULARY)
+    return token_counts.token_counts(table(spark, folder, "documents"), VOCABULARY)
 
 
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,47 +31,51 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(saying).alias("text"),
     )
-    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.format_conversations(turns.unionByName(extra)))
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality(
-        _table(spark, folder, "documents"), _table(spark, folder, "labels")
+        table(spark, folder, "documents"), table(spark, folder, "labels")
     )
 
 
-def _fold(folds: int) -> Column:
+def fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substring_dedup.dedup_windows(_table(spark, folder, "documents")).drop("kept")
+    return substring_dedup.dedup_windows(table(spark, folder, "documents")).drop("kept")
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(
-        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
     return found.drop("key")
 
 
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.dedup_strings(_table(spark, folder, "documents")).drop("kept", "key")
+    return suffix_dedup.dedup_strings(table(spark, folder, "documents")).drop("kept")
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(
-        _table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(5) == 0
+        table(spark, folder, "documents"), table(spark, folder, "labels"), fold(5) == 0
     )
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, folder, "documents")).drop("set", "key")
+
+
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return ppm.score(_table(spark, folder, "documents"), _fold(7) == 2)
+    return ppm.score(table(spark, folder, "documents"), fold(7) == 2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op7_suffix_dedup, op8_toxicity, op10_lm_scoring)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_ngram_jaccard_join, op10_lm_scoring)
 }
 
 _DECONTAMINATION = r"""

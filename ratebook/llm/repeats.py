@@ -174,8 +174,10 @@ def answers(asked: DataFrame, parts: int) -> DataFrame:
     return group_batches(asked, "part", job, FOUND)
 
 
-def packed_texts(docs: DataFrame, id_column: str, text: str, parts: int) -> DataFrame:
-    """place, key, doc_id and compressed text of every row; place: the range of its key."""
+def packed_texts(
+    docs: DataFrame, id_column: str, text: str, parts: int, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """place, key, doc_id, compressed text, carried columns of every row; place: range of keys."""
 
     def job(batches):
         for batch in batches:
@@ -186,10 +188,11 @@ def packed_texts(docs: DataFrame, id_column: str, text: str, parts: int) -> Data
                 "key": mix(keys).view(np.int64),
                 "doc_id": batch.column(1),
                 "text": [compress_text(t) for t in texts],
-            }
+            } | {name: batch.column(name) for name in carried}
 
     schema = f"place int, key long, doc_id {id_type(docs, id_column)}, text binary"
-    return map_batches(keyed(docs, id_column, text), job, schema)
+    schema += "".join(f", {name} {id_type(docs, name)}" for name in carried)
+    return map_batches(keyed(docs, id_column, text, carried), job, schema)
 
 
 def batch_keys(column) -> np.ndarray:

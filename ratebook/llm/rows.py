@@ -40,12 +40,15 @@ def row_key(id_column: str, text_column: str) -> Column:
     )
 
 
-def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """key, doc_id, text of all rows; a null text is empty."""
+def keyed(
+    docs: DataFrame, id_column: str, text_column: str, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """key, doc_id, text and carried columns of all rows; a null text is empty."""
     return docs.select(
         row_key(id_column, text_column).alias("key"),
         F.col(id_column).alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+        *carried,
     )
 
 
@@ -93,9 +96,9 @@ def arrow_schema(schema: str) -> pa.Schema:
     )
 
 
-def id_type(df: DataFrame, id_column: str) -> str:
-    """The name of the id's type in schemas of this module."""
-    return {"bigint": "long"}.get(name := df.schema[id_column].dataType.simpleString(), name)
+def id_type(df: DataFrame, column: str) -> str:
+    """The name of a column's type in schemas of this module."""
+    return {"bigint": "long"}.get(name := df.schema[column].dataType.simpleString(), name)
 
 
 def group_batches(

@@ -194,14 +194,15 @@ def dedup_strings(
     hot: int = HOT,
     id_column: str = "doc_id",
     text: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept and key of every row.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept and carried columns of every row.
 
     `kept`: the bytes that stay. Every byte of a string of `window` bytes that also starts
     elsewhere, in the same row or another, goes, overlapping occurrences included; exact copies
     go whole. `n_spans` counts maximal removed runs. Null and shorter texts lose nothing. Repeated
     rows repeat each other; a null id stays; other columns are left out; an empty table gives
-    none. Strings are compared by 64-bit hash. `key` stands for doc_id and text.
+    none. Strings are compared by 64-bit hash. `carried` names further columns to keep.
     """
     parts = partitions(docs.sparkSession)
 
@@ -334,10 +335,11 @@ def dedup_strings(
                 "n_spans": spans[offsets[1:]] - spans[offsets[:-1]],
                 "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept],
                 "kept": kept,
-                "key": keys[low:high].view(np.int64),
+            } | {
+                name: table.column(name).slice(low, high - low).combine_chunks() for name in carried
             }
 
-    texts = packed_texts(docs, id_column, text, parts)
+    texts = packed_texts(docs, id_column, text, parts, carried)
     contexts = with_found(texts, anchors.where("place >= 0"), extend, _ROWS)
     strings = group_batches(contexts, "part", compare, FOUND)
     return with_found(
@@ -345,7 +347,7 @@ def dedup_strings(
         strings,
         remove,
         f"doc_id {id_type(docs, id_column)}, n_bytes long, n_removed long, n_spans long, "
-        "kept_sha256 string, kept binary, key long",
+        "kept_sha256 string, kept binary" + "".join(f", {c} {id_type(docs, c)}" for c in carried),
     )
 
 

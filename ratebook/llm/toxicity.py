@@ -297,15 +297,16 @@ def toxicity(
     text: str = "text",
     label: str = "toxic",
     sample: int = SAMPLE,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row.
+    """doc_id, held_out, score, predicted and carried columns of every row.
 
     `held_out`: an expression over doc_id; labels of ids where it is true are not used. Of the
     other labelled ids the `sample` with the least hash fit the word weights and the scale; the
     character model counts every row's text. Only the text enters a score. Null and empty texts
     get the score of a text without telling words; without labels of both kinds every row gets
-    the share of label 1. A repeated id gets its label on each row; other columns are left out;
-    an empty table gives none.
+    the share of label 1. A repeated id gets its label on each row; `carried` names columns
+    to keep, others are left out; an empty table gives none.
     """
     rows = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
     known = (
@@ -343,12 +344,17 @@ def toxicity(
                     "held_out": batch.column(2).slice(low, high - low),
                     "score": score,
                     "predicted": (score >= 0.5).astype(np.int32),
-                }
+                } | {c: batch.column(c).slice(low, high - low) for c in kept}
 
+    kept = [c for c in carried if c != "doc_id"]
     return map_batches(
-        rows.withColumn("held_out", F.coalesce(held_out, F.lit(False))).select(
-            "doc_id", "text", "held_out"
+        docs.select(
+            docs[id_column].alias("doc_id"),
+            docs[text].alias("_text"),
+            F.coalesce(held_out, F.lit(False)).alias("_held_out"),
+            *kept,
         ),
         judge,
-        f"doc_id {id_type(docs, id_column)}, held_out boolean, score double, predicted int",
+        f"doc_id {id_type(docs, id_column)}, held_out boolean, score double, predicted int"
+        + "".join(f", {c} {id_type(docs, c)}" for c in kept),
     )
