@@ -1,27 +1,83 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage gets all rows the one before it kept; all but the last return the columns of documents.
+"""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratebook.llm import packing
-from ratebook.llm.queries import VOCABULARY
+from ratebook.llm import decontamination, ngram_join, packing, suffix_dedup, toxicity
+from ratebook.llm.queries import VOCABULARY, fold, table
+from ratebook.llm.rows import row_key
 from ratebook.operators.storage import new_folder
 
+# Byte strings cut out of a text may leave parts of a character; no SQL writes these stages.
 ORACLE_SQL = None
+_KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(_KEY, row_key("doc_id", "text"))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model predicts to be toxic go."""
+    return toxicity.toxicity(
+        docs, table(spark, sf_dir, "labels"), fold(5) == 0, carried=tuple(docs.columns)
+    ).where("predicted = 0").select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents the one with the least doc_id stays, once; null ids yield to others."""
+    found = ngram_join.jaccard_components(docs)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keys = first.select(F.col("key").alias(_KEY)).distinct()
+    return _keyed(docs).join(keys, _KEY).dropDuplicates([_KEY]).select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated byte strings are cut out of the texts; a text that is cut whole goes with its row.
+
+    Bytes of a character that was cut through are left out; n_chars follows the text.
+    """
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = suffix_dedup.dedup_strings(docs, carried=others)
+    text = F.try_validate_utf8("kept")
+    return (
+        found.where("n_removed = 0 or n_removed < n_bytes")
+        .withColumn("text", F.coalesce(text, F.expr("replace(make_valid_utf8(kept), '\\uFFFD', '')")))
+        .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        .select(docs.columns)
+    )
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.where("contaminated").select(F.col("key").alias(_KEY)).distinct()
+    return _keyed(docs).join(hit, _KEY, "left_anti").select(docs.columns)
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining document's token pieces with their place in a sequence."""
     return packing.pack(docs, VOCABULARY)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", best_fit_packing)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", drop_contaminated),
+    ("best_fit_packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage is written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
