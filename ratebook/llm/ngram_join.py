@@ -47,6 +47,8 @@ TIMES_MEAN = 4
 # Sets of at most LARGE tokens use pairs of frequent tokens; those of at least SMALL single ones.
 # Similar sets are both in one of the ranges, as sizes differ by a quarter at most.
 LARGE, SMALL = 80, 64
+# Bits of a set's bitmap; two bitmaps differ in at most as many bits as the sets have tokens apart.
+BITS = 1024
 # Groups of at most so many members have all their pairs compared at once.
 ALL_PAIRS = 6
 HELD = 6_000_000
@@ -78,6 +80,21 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(sums[bounds[1:]] - sums[bounds[:-1]] + size * np.uint64(0x2545F4914F6CDD1D))
 
 
+def bitmaps(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Per set, whether the number of its tokens that fall on each bit is odd."""
+    width = BITS // 8
+    made: list[bytes] = []
+    step = 2000
+    for low in range(0, len(bounds) - 1, step):
+        cut = bounds[low : low + step + 1]
+        bit = (mix(hashes[cut[0] : cut[-1]]) & np.uint64(BITS - 1)).astype(np.int64)
+        place = owners_of(cut) * BITS + bit
+        odd = np.bincount(place, minlength=(len(cut) - 1) * BITS) & 1
+        raw = np.packbits(odd.astype(np.uint8)).tobytes()
+        made += [raw[i * width : (i + 1) * width] for i in range(len(cut) - 1)]
+    return made
+
+
 def frequent_buckets(texts: DataFrame) -> np.ndarray:
     """Which buckets of the sketch hold a frequent token; from every row's set."""
     shift = np.uint64(64 - BUCKETS.bit_length() + 1)
@@ -172,6 +189,26 @@ def group_pairs(keys: np.ndarray, sets: np.ndarray, sizes: np.ndarray):
     return pairs[:, 0], pairs[:, 1], keys[large], sets[large], sizes[large]
 
 
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs a, b that can be similar by their sizes and bitmaps; sets: set, n, bits."""
+    one = sets.select(F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    two = sets.select(F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def job(batches) -> Iterator[dict]:
+        for batch in batches:
+            a, b, n, m = (batch.column(i).to_numpy() for i in range(4))
+            left, right = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(a), -1)
+                for i in (4, 5)
+            )
+            apart = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+            fit = (100 + SIMILAR) * apart <= (100 - SIMILAR) * (n + m)
+            yield {"a": a[fit], "b": b[fit]}
+
+    return map_batches(joined, job, "a long, b long")
+
+
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs a, b whose sets are similar; texts: set and the compressed text of one row."""
     left = texts.select(F.col("set").alias("a"), F.col("text").alias("left"))
@@ -241,6 +278,7 @@ def jaccard_components(
                     doc_id=batch.column(1).slice(low, high - low),
                     set=sets.view(np.int64),
                     n=sizes,
+                    bits=bitmaps(hashes, bounds),
                 )
                 keys, at = index_entries(hashes, bounds, frequent)
                 held.append((keys, sets[at], sizes[at]))
@@ -266,7 +304,8 @@ def jaccard_components(
             yield _entry(1, part=[int(part)], entries=[blob])
 
     kind = id_type(docs, id_column)
-    columns = {"key": "long", "doc_id": kind, "set": "long", "n": "long", "part": "int", "entries": "binary"}
+    columns = {"key": "long", "doc_id": kind, "set": "long", "n": "long", "bits": "binary"}
+    columns |= {"part": "int", "entries": "binary"}
 
     def _entry(rows_made: int, **given) -> dict:
         return {c: given.get(c, [None] * rows_made) for c in columns}
@@ -294,35 +333,34 @@ def jaccard_components(
         ),
         "groups",
     )
-    pairs = stored(groups.where("size = -1").select("a", "b").distinct(), "pairs")
+    pairs = groups.where("size = -1").select("a", "b").distinct()
+    bits = made.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    maybe = stored(_possible(pairs, bits), "maybe")
     large = groups.where("size >= 0").select(F.col("a").alias("group"), F.col("b").alias("set"), "size")
-    asked = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    asked = asked.unionByName(large.select("set")).distinct()
-    chosen = members.groupBy("set").agg(F.min("key").alias("key")).join(asked, "set")
-    wanted = rows.join(chosen, "key").select("set", "key", "text")
+    asked = maybe.select(F.col("a").alias("set")).union(maybe.select("b")).union(large.select("set"))
+    chosen = members.groupBy("set").agg(F.min("key").alias("key")).join(asked.distinct(), "set")
+    wanted = rows.join(chosen, "key").dropDuplicates(["key"]).select("set", "text")
 
     def shrink(batches) -> Iterator[dict]:
         for batch in batches:
-            texts = batch.column(2).cast(pa.large_binary()).to_pylist()
-            yield {
-                "set": batch.column(0),
-                "key": batch.column(1),
-                "text": [compress_text(t) for t in texts],
-            }
-
-    texts = stored(map_batches(wanted, shrink, "set long, key long, text binary"), "texts")
-    texts = texts.dropDuplicates(["set"]).select("set", "text")
-    links = stored(_similar(pairs, texts), "links")
+            texts = batch.column(1).cast(pa.large_binary()).to_pylist()
+            yield {"set": batch.column(0), "text": [compress_text(t) for t in texts]}
+
+    texts = stored(map_batches(wanted, shrink, "set long, text binary"), "texts")
+    links = stored(_similar(maybe, texts), "links")
     found = stored(components(links), "components")
     labelled = large.join(found, large["set"] == found["node"], "left").select(
         "group", "set", "size", F.coalesce("component", "set").alias("component")
     )
+    # groups of the same members give the same pairs, so one of them is enough
     mixed = labelled.groupBy("group").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_groups = stored(
-        labelled.join(mixed.where("low != high").select("group"), "group"), "open_groups"
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count(F.lit(1)).alias("members"),
+        F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("content"),
     )
+    once = mixed.where("low != high").groupBy("members", "content").agg(F.min("group").alias("group"))
+    open_groups = stored(labelled.join(once.select("group"), "group"), "open_groups")
     one = open_groups.select("group", *[F.col(c).alias(f"{c}_a") for c in ("set", "size", "component")])
     two = open_groups.select("group", *[F.col(c).alias(f"{c}_b") for c in ("set", "size", "component")])
     across = (
@@ -332,7 +370,7 @@ def jaccard_components(
         .select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b"))
         .distinct()
     )
-    across = stored(across.join(pairs, ["a", "b"], "left_anti"), "across")
+    across = stored(_possible(across.join(maybe, ["a", "b"], "left_anti"), bits), "across")
     more = stored(_similar(across, texts), "links")
     if not more.isEmpty():
         found = stored(components(links.unionByName(more)), "components")
