@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 import zstandard
 
 # Bytes of text that are turned into arrays at once; a longer text is taken alone.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _SYMBOLS = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)

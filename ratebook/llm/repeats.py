@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame
 from .arrays import compress_text, decompress_text, mix, pack, unpack
 from .rows import arrow_schema, group_batches, id_type, keyed, map_batches, record_batch, ship_package
 
+# Parts of the number line for each task of a shuffle, so that a part stays small.
+PARTS_PER_TASK = 4
 # Hashes that a task holds before it sends them.
-HELD = 8_000_000
+HELD = 3_000_000
 ASK = "part int, asked binary, known binary"
 FOUND = "place int, found binary"
 
@@ -90,8 +92,8 @@ def spread_runs(rows: np.ndarray, firsts: np.ndarray, lengths: np.ndarray):
 class Asker:
     """Collects hashes with the places that ask about them, and makes the rows to send."""
 
-    def __init__(self, parts: int) -> None:
-        self.parts = parts
+    def __init__(self, parts: int, places: int) -> None:
+        self.parts, self.places = parts, places
         self.size = 0
         self._hashes: list[np.ndarray] = []
         self._asked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -118,7 +120,7 @@ class Asker:
         at = np.searchsorted(distinct, hashes[asking])
         sure = twice[at]
         runs = _ordered_runs(owners[sure], places[sure])
-        for part, blob in found_rows(*runs, self.parts):
+        for part, blob in found_rows(*runs, self.places):
             yield {"part": [part], "asked": [None], "known": [blob]}
         at, owners, places = at[~sure], owners[~sure], places[~sure]
         order = np.argsort(at)
@@ -136,7 +138,7 @@ class Asker:
                 places[low:high],
             )
             yield {"part": [int(part)], "asked": [blob], "known": [None]}
-        self.__init__(self.parts)
+        self.__init__(self.parts, self.places)
 
 
 def _ordered_runs(owners: np.ndarray, places: np.ndarray):
@@ -159,7 +161,7 @@ def repeated_runs(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return _ordered_runs(np.concatenate(owners), np.concatenate(places))
 
 
-def answers(asked: DataFrame, parts: int) -> DataFrame:
+def answers(asked: DataFrame, places: int) -> DataFrame:
     """Runs of repeated places by range of row keys, from the rows of Askers."""
     def job(table: pa.Table) -> Iterator[dict]:
         part = table.column("part")[0].as_py()
@@ -168,7 +170,7 @@ def answers(asked: DataFrame, parts: int) -> DataFrame:
             yield {"place": [part] * len(known), "found": known}
         blobs = [b for b in table.column("asked").to_pylist() if b is not None]
         if blobs:
-            for place, blob in found_rows(*repeated_runs(blobs), parts):
+            for place, blob in found_rows(*repeated_runs(blobs), places):
                 yield {"place": [place], "found": [blob]}
 
     return group_batches(asked, "part", job, FOUND)

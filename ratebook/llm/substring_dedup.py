@@ -27,6 +27,7 @@ from .arrays import (
 from .repeats import (
     ASK,
     HELD,
+    PARTS_PER_TASK,
     Asker,
     answers,
     batch_keys,
@@ -59,11 +60,12 @@ def dedup_windows(
     rows repeat each other; a null id stays; other columns are left out; an empty table gives
     none. Windows are compared by 64-bit hash.
     """
-    parts = partitions(docs.sparkSession)
+    places = partitions(docs.sparkSession)
+    parts = PARTS_PER_TASK * places
     block = (window + 1) // 2
 
     def probe(batches) -> Iterator[dict]:
-        asker = Asker(parts)
+        asker = Asker(parts, places)
         for batch in batches:
             keys = batch_keys(batch.column(0))
             for low, high, data, offsets in text_slices(batch.column(2)):
@@ -86,13 +88,13 @@ def dedup_windows(
         yield from asker.rows()
 
     def extend(table: pa.Table, blobs: list[bytes]) -> Iterator[dict]:
-        asker = Asker(parts)
+        asker = Asker(parts, places)
         keys = table.column("key").to_numpy().view(np.uint64)
-        rows, places = spread_runs(*look_up_runs(blobs, keys))
+        rows, found = spread_runs(*look_up_runs(blobs, keys))
         for low, high, data, offsets in text_groups(table, SLICE_BYTES):
             words, _, _, bounds = _word_hashes(data, offsets)
             own = (rows >= low) & (rows < high)
-            anchor = bounds[rows[own] - low] + places[own]
+            anchor = bounds[rows[own] - low] + found[own]
             near = np.zeros(len(words) + 1, np.int64)
             first = np.maximum(anchor - block + 1, bounds[rows[own] - low])
             np.add.at(near, first, 1)
@@ -113,11 +115,11 @@ def dedup_windows(
 
     def remove(table: pa.Table, blobs: list[bytes]) -> Iterator[dict]:
         keys = table.column("key").to_numpy().view(np.uint64)
-        rows, places = spread_runs(*look_up_runs(blobs, keys))
+        rows, found = spread_runs(*look_up_runs(blobs, keys))
         for low, high, data, offsets in text_groups(table, SLICE_BYTES):
             starts, ends, bounds = split_words(data, offsets)
             own = (rows >= low) & (rows < high)
-            gone = covered(bounds[rows[own] - low] + places[own], window, len(starts))
+            gone = covered(bounds[rows[own] - low] + found[own], window, len(starts))
             raw, kept = data.tobytes(), []
             for i in range(high - low):
                 stay = np.flatnonzero(~gone[bounds[i] : bounds[i + 1]]) + bounds[i]
@@ -135,9 +137,9 @@ def dedup_windows(
                 "kept": [k.decode() for k in kept],
             }
 
-    texts = packed_texts(docs, id_column, text, parts)
-    anchors = answers(map_batches(keyed(docs, id_column, text), probe, ASK), parts)
-    windows = answers(with_found(texts, anchors, extend, ASK), parts)
+    texts = packed_texts(docs, id_column, text, places)
+    anchors = answers(map_batches(keyed(docs, id_column, text), probe, ASK), places)
+    windows = answers(with_found(texts, anchors, extend, ASK), places)
     return with_found(
         texts,
         windows,

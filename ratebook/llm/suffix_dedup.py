@@ -22,6 +22,7 @@ from .arrays import (
     SLICE_BYTES,
     compress_text,
     decompress_text,
+    mix,
     pack,
     rolling_hashes,
     symbols,
@@ -32,6 +33,7 @@ from .arrays import (
 from .repeats import (
     FOUND,
     HELD,
+    PARTS_PER_TASK,
     Asker,
     batch_keys,
     found_rows,
@@ -59,12 +61,15 @@ _ROWS = "part int, asked binary, known binary, contexts binary"
 
 
 def anchors_of(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
-    """Gram hashes; per anchor its position and the first and last start of its strings; owners."""
+    """Per anchor its gram's key and position, the first and last start of its strings, the owner.
+
+    Anchors have small hashes; a key is mixed anew, so that keys are spread evenly.
+    """
     hashes = rolling_hashes(symbols(data), gram)
     starts = whole_windows(offsets, window)
     if not len(starts):
         empty = np.empty(0, np.int64)
-        return hashes, empty, empty, empty, empty
+        return hashes[:0], empty, empty, empty, empty
     # the upper half of a hash, then the position: the least value has the leftmost least hash
     least = (hashes & np.uint64(0xFFFF_FFFF_0000_0000)) | np.arange(len(hashes), dtype=np.uint64)
     width, span = window - gram + 1, 1
@@ -77,7 +82,8 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     owner = np.searchsorted(offsets, starts, "right") - 1
     firsts = np.flatnonzero(np.append(True, (picked[1:] != picked[:-1]) | (owner[1:] != owner[:-1])))
     lasts = np.append(firsts[1:], len(starts)) - 1
-    return hashes, picked[firsts], starts[firsts], starts[lasts], owner[firsts]
+    grams = mix(hashes[picked[firsts]] ^ np.uint64(0xA24BAED4963EE407))
+    return grams, picked[firsts], starts[firsts], starts[lasts], owner[firsts]
 
 
 class LogIndex:
@@ -133,8 +139,8 @@ class LogIndex:
 
 
 def _context_rows(
-    hashes: np.ndarray, keys: np.ndarray, places: np.ndarray, numbers: np.ndarray,
-    data: np.ndarray, starts: np.ndarray, window: int, parts: int,
+    hashes: np.ndarray, keys: np.ndarray, firsts: np.ndarray, numbers: np.ndarray,
+    data: np.ndarray, starts: np.ndarray, window: int, parts: int, places: int,
 ) -> Iterator[dict]:
     """Contexts by range of their anchor's hash: equal ones known, one of each sent."""
     lengths = numbers + window - 1
@@ -143,7 +149,7 @@ def _context_rows(
     one = np.array([first.setdefault(t, i) for i, t in enumerate(texts)], np.int64)
     copies = np.bincount(one, minlength=len(one))
     sure = copies[one] > 1
-    for part, blob in found_rows(keys[sure], places[sure], numbers[sure], parts):
+    for part, blob in found_rows(keys[sure], firsts[sure], numbers[sure], places):
         yield {"part": [part], "asked": [None], "known": [blob], "contexts": [None]}
     sent = np.unique(one)
     sent = sent[np.argsort(hashes[sent], kind="stable")]
@@ -151,7 +157,7 @@ def _context_rows(
     for part in np.flatnonzero(np.diff(bounds)):
         own = sent[bounds[part] : bounds[part + 1]]
         own = own[np.argsort(keys[own], kind="stable")]
-        head = pack(keys[own], places[own], numbers[own], copies[own] > 1)
+        head = pack(keys[own], firsts[own], numbers[own], copies[own] > 1)
         blob = len(head).to_bytes(8, "little") + head
         blob += compress_text(b"".join([texts[i] for i in own]))
         yield {"part": [int(part)], "asked": [None], "known": [None], "contexts": [blob]}
@@ -204,21 +210,22 @@ def dedup_strings(
     rows repeat each other; a null id stays; other columns are left out; an empty table gives
     none. Strings are compared by 64-bit hash. `carried` names further columns to keep.
     """
-    parts = partitions(docs.sparkSession)
+    places = partitions(docs.sparkSession)
+    parts = PARTS_PER_TASK * places
 
     def probe(batches) -> Iterator[dict]:
-        asker, grams = Asker(parts), []
+        asker, grams = Asker(parts, places), []
         for batch in batches:
             keys = batch_keys(batch.column(0))
             for low, high, data, offsets in text_slices(batch.column(2)):
-                hashes, places, _, _, owner = anchors_of(data, offsets, window, gram)
+                found, anchor, _, _, owner = anchors_of(data, offsets, window, gram)
                 asker.add(
-                    hashes[places],
-                    np.arange(len(places)),
+                    found,
+                    np.arange(len(anchor)),
                     keys[low:high][owner],
-                    places - offsets[owner],
+                    anchor - offsets[owner],
                 )
-                grams.append(hashes[places])
+                grams.append(found)
                 if asker.size > HELD:
                     yield from with_counts(asker, grams)
                     grams = []
@@ -243,7 +250,7 @@ def dedup_strings(
         columns = {n: [b for b in table.column(n).to_pylist() if b is not None] for n in names[1:]}
         found = [(part, b) for b in columns["known"]]
         if columns["asked"]:
-            found += found_rows(*repeated_runs(columns["asked"]), parts)
+            found += found_rows(*repeated_runs(columns["asked"]), places)
         counted = [unpack(b) for b in columns["contexts"]]
         if counted:
             grams, at = np.unique(np.concatenate([g for g, _ in counted]), return_inverse=True)
@@ -264,17 +271,17 @@ def dedup_strings(
     shared = docs.sparkSession.sparkContext.broadcast(hot_grams)
 
     def extend(table: pa.Table, blobs: list[bytes]) -> Iterator[dict]:
-        asker, held = Asker(parts), []
+        asker = Asker(parts, places)
         keys = table.column("key").to_numpy().view(np.uint64)
-        rows, places = spread_runs(*look_up_runs(blobs, keys))
-        chosen = np.unique((rows.astype(np.int64) << 40) | places)
+        rows, at = spread_runs(*look_up_runs(blobs, keys))
+        chosen = np.unique((rows.astype(np.int64) << 40) | at)
         for low, high, data, offsets in text_groups(table, SLICE_BYTES):
-            hashes, anchor, first, last, owner = anchors_of(data, offsets, window, gram)
+            found, anchor, first, last, owner = anchors_of(data, offsets, window, gram)
             own = ((owner + low) << 40) | (anchor - offsets[owner])
             spot = np.minimum(np.searchsorted(chosen, own), max(len(chosen) - 1, 0))
             on = chosen[spot] == own if len(chosen) else np.zeros(len(own), bool)
-            anchor, first, last, owner = anchor[on], first[on], last[on], owner[on]
-            heat = np.isin(hashes[anchor], shared.value)
+            found, first, last, owner = found[on], first[on], last[on], owner[on]
+            heat = np.isin(found, shared.value)
             context, starts = spread_runs(
                 owner[heat], first[heat], last[heat] - first[heat] + 1
             )
@@ -286,7 +293,7 @@ def dedup_strings(
             cold = ~heat
             if cold.any():
                 yield from _context_rows(
-                    hashes[anchor[cold]],
+                    found[cold],
                     keys[low:high][owner[cold]],
                     (first - offsets[owner])[cold],
                     (last - first + 1)[cold],
@@ -294,6 +301,7 @@ def dedup_strings(
                     first[cold],
                     window,
                     parts,
+                    places,
                 )
             if asker.size > HELD:
                 yield from (row | {"contexts": [None]} for row in asker.rows())
@@ -304,9 +312,9 @@ def dedup_strings(
         columns = {n: [b for b in table.column(n).to_pylist() if b is not None] for n in names[1:]}
         found = [(part, b) for b in columns["known"]]
         if columns["asked"]:
-            found += found_rows(*repeated_runs(columns["asked"]), parts)
+            found += found_rows(*repeated_runs(columns["asked"]), places)
         if columns["contexts"]:
-            found += found_rows(*_repeated_strings(columns["contexts"], window), parts)
+            found += found_rows(*_repeated_strings(columns["contexts"], window), places)
         yield {"place": [p for p, _ in found], "found": [b for _, b in found]}
 
     def remove(table: pa.Table, blobs: list[bytes]) -> Iterator[dict]:
@@ -339,7 +347,7 @@ def dedup_strings(
                 name: table.column(name).slice(low, high - low).combine_chunks() for name in carried
             }
 
-    texts = packed_texts(docs, id_column, text, parts, carried)
+    texts = packed_texts(docs, id_column, text, places, carried)
     contexts = with_found(texts, anchors.where("place >= 0"), extend, _ROWS)
     strings = group_batches(contexts, "part", compare, FOUND)
     return with_found(
