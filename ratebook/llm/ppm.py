@@ -119,9 +119,19 @@ def most_frequent(grams: DataFrame, capacity: int) -> tuple[np.ndarray, np.ndarr
         if total > capacity:
             least = row["size"]
             break
-    kept = grams.where(size > least).toPandas()
-    order = np.argsort(kept["gram"].to_numpy(np.int64))
-    return kept["gram"].to_numpy(np.uint64)[order], kept["n"].to_numpy(np.int64)[order]
+
+    def job(batches) -> Iterator[dict]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            order = np.argsort(keys)
+            counts = batch.column(1).to_numpy()
+            yield {"grams": [pack(keys[order], counts[order])]}
+
+    # packed, so that the driver holds a few bytes for each gram
+    packed = map_batches(grams.where(size > least), job, "grams binary").collect()
+    found = [unpack(row["grams"]) for row in packed] or [(np.empty(0, np.uint64),) * 2]
+    keys, counts = _sum_by(*map(np.concatenate, zip(*found, strict=True)))
+    return keys, counts.astype(np.int64)
 
 
 class _Table:
