@@ -10,11 +10,11 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 # Unicode's White_Space.
-_WHITE = "\t-\r \x85\xa0  -     　"
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WHITE_AFTER_SPACE = re.compile(f" (?:[{_WHITE}]|$)")
 _PLACES = re.compile(f"(?= [^{_WHITE}])")
 # Pieces remembered in a Python worker, and the longest that is.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 LONGEST = 64
 
 
