@@ -49,8 +49,12 @@ def initials(name: Column) -> Column:
 
 
 def url_decode(column: Column) -> Column:
-    """Percent and plus decoding; text that cannot be decoded is kept as it is."""
-    return F.coalesce(F.try_url_decode(column), column)
+    """Percent and plus decoding; a percent sign without two hex digits stands for itself.
+
+    Text that cannot be decoded even so is kept as it is.
+    """
+    escaped = F.regexp_replace(column, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), column)
 
 
 def file_stem(path: Column) -> Column:

@@ -32,32 +32,34 @@ def apply_snapshot(
 ) -> DataFrame:
     """History after comparing `current` with the open versions on the `check` columns.
 
-    New or changed keys get a new version, the version they replace is closed
-    at `at`, everything else stays. Keys missing from `current` stay open.
-    Loading the same rows twice adds nothing. Write the result to a new path
-    or table, never over the history it reads. `hot`: keys that very many rows
-    share.
+    Rows are matched by key and the content of the check columns together, so
+    a key may repeat: a pair without an open version gets one for each of its
+    rows; an open version whose key is in `current` but whose pair is not is
+    closed at `at`; everything else stays, keys missing from `current` too.
+    Loading the same rows twice adds nothing. Rows without a key are always
+    new. Write the result to a new path or table, never over the history it
+    reads. `hot`: keys that very many rows share.
     """
     at = F.lit(at).cast("timestamp")
     if history is None:
         return _versions(current, key, at)
 
-    open_versions = history.where(F.col("dbt_valid_to").isNull()).select(
-        key,
-        F.lit(True).alias("_known"),
-        *[F.col(c).alias(f"_old_{c}") for c in check],
-    )
-    differs = F.lit(False)
-    for name in check:
-        differs = differs | ~F.col(name).eqNullSafe(F.col(f"_old_{name}"))
-    joined = salted_join(current, open_versions, key, "left", hot)
-    changed = joined.where(F.col("_known").isNull() | differs)
-
-    replaced = changed.where(F.col("_known")).select(key).distinct().withColumn("_end", at)
-    kept = (
-        salted_join(history, replaced, key, "left", hot)
-        .withColumn("dbt_valid_to", F.coalesce("dbt_valid_to", "_end"))
-        .drop("_end")
-        .select(*history.columns)
+    def marked(rows: DataFrame) -> DataFrame:
+        content = F.to_json(F.struct(key, *check), {"ignoreNullFields": "false"})
+        return rows.withColumn("_pair", F.when(F.col(key).isNotNull(), F.sha2(content, 256)))
+
+    old, new = marked(history), marked(current)
+    is_open = F.col("dbt_valid_to").isNull()
+    known = old.where(is_open & F.col("_pair").isNotNull()).select("_pair").distinct()
+    added = new.join(known, "_pair", "left_anti").select(*current.columns)
+
+    keys = new.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_loaded", F.lit(True))
+    pairs = new.where(F.col("_pair").isNotNull()).select("_pair").distinct()
+    compared = salted_join(old, keys, key, "left", hot).join(
+        pairs.withColumn("_same", F.lit(True)), "_pair", "left"
     )
-    return kept.unionByName(_versions(changed.select(*current.columns), key, at))
+    replaced = is_open & F.col("_loaded") & F.col("_same").isNull()
+    kept = compared.withColumn(
+        "dbt_valid_to", F.when(replaced, at).otherwise(F.col("dbt_valid_to"))
+    ).select(*history.columns)
+    return kept.unionByName(_versions(added, key, at))

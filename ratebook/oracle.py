@@ -6,7 +6,7 @@ from .plans.validation import AMENDMENT_TYPES, RATE_TYPES
 
 AS_OF = "DATE '1999-01-01'"
 FIRST_DAY = "DATE '1995-01-01'"
-LAST_DAY = "DATE '2004-12-31'"
+LAST_DAY = "DATE '2006-12-31'"
 
 # Named relations; each may use the ones before it.
 RELATIONS = {

@@ -17,7 +17,7 @@ from .streaming import events, ingest
 
 AS_OF = date(1999, 1, 1)
 FIRST_DAY = date(1995, 1, 1)
-LAST_DAY = date(2004, 12, 31)
+LAST_DAY = date(2006, 12, 31)
 EXTRACTED_AT = datetime(2024, 1, 15, 10, 30)
 FIRST_LOAD = datetime(2024, 1, 1)
 SECOND_LOAD = datetime(2024, 2, 1)

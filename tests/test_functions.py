@@ -179,3 +179,10 @@ def test_patterns_equal_python(spark):
         found = [(a.amendment_id, a.description) for a in row.amendments or []]
         assert found == expected, value
     assert hits > 1000
+
+
+def test_url_decode_of_stray_percent_signs(spark):
+    rows = [("100%+a.pdf",), ("in%2Fx+50%.pdf",), ("a%2",), (None,)]
+    df = spark.createDataFrame(rows, "s string")
+    got = [r[0] for r in df.select(text.url_decode(df["s"])).collect()]
+    assert got == ["100% a.pdf", "in/x 50%.pdf", "a%2", None]

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ratebook.operators.history import apply_snapshot
 from ratebook import schemas
 from ratebook.operators.quality import run_checks
 from ratebook.plans import build, checks, history, intermediate, marts, staging
@@ -443,3 +444,19 @@ def test_status_needs_no_join_for_unique_contracts(spark, built):
     rates, enriched = built["stg_rate_schedules"], built["int_contracts_enriched"]
     joined = intermediate.int_rates_normalized(rates, enriched, as_of=AS_OF)
     assert _stable(joined) == _stable(built["int_rates_normalized"])
+
+
+def test_history_of_repeated_keys_adds_nothing_for_equal_loads(spark):
+    schema = "k string, v string"
+    rows = [("a", "1"), ("a", "2"), ("b", "1"), ("b", "1"), ("c", None)]
+    load = spark.createDataFrame(rows, schema)
+    days = [datetime.datetime(2024, 1, d) for d in (1, 2, 3)]
+    one = apply_snapshot(None, load, "k", ["v"], days[0])
+    two = apply_snapshot(one, load, "k", ["v"], days[1])
+    assert two.count() == 5 and two.where("dbt_valid_to is not null").count() == 0
+    changed = spark.createDataFrame([("a", "2"), ("a", "3"), ("c", None)], schema)
+    three = apply_snapshot(two, changed, "k", ["v"], days[2])
+    closed = three.where("dbt_valid_to is not null").select("k", "v").collect()
+    assert [tuple(r) for r in closed] == [("a", "1")]
+    assert three.count() == 6
+    assert apply_snapshot(three, changed, "k", ["v"], days[2]).count() == 6
