@@ -339,14 +339,16 @@ def jaccard_components(
     large = groups.where("size >= 0").select(F.col("a").alias("group"), F.col("b").alias("set"), "size")
     asked = maybe.select(F.col("a").alias("set")).union(maybe.select("b")).union(large.select("set"))
     chosen = members.groupBy("set").agg(F.min("key").alias("key")).join(asked.distinct(), "set")
-    wanted = rows.join(chosen, "key").dropDuplicates(["key"]).select("set", "text")
 
     def shrink(batches) -> Iterator[dict]:
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary()).to_pylist()
-            yield {"set": batch.column(0), "text": [compress_text(t) for t in texts]}
+            yield {"key": batch.column(0), "text": [compress_text(t) for t in texts]}
 
-    texts = stored(map_batches(wanted, shrink, "set long, text binary"), "texts")
+    # texts are compressed before they are shuffled
+    small = map_batches(rows.select("key", "text"), shrink, "key long, text binary")
+    wanted = small.join(chosen, "key").dropDuplicates(["key"]).select("set", "text")
+    texts = stored(wanted, "texts")
     links = stored(_similar(maybe, texts), "links")
     found = stored(components(links), "components")
     labelled = large.join(found, large["set"] == found["node"], "left").select(
