@@ -47,8 +47,10 @@ TIMES_MEAN = 4
 # Sets of at most LARGE tokens use pairs of frequent tokens; those of at least SMALL single ones.
 # Similar sets are both in one of the ranges, as sizes differ by a quarter at most.
 LARGE, SMALL = 80, 64
-# Bits of a set's bitmap; two bitmaps differ in at most as many bits as the sets have tokens apart.
-BITS = 1024
+# Bits of a set's bitmap: a power of two in this range, for larger sets more. Two bitmaps differ in
+# at most as many bits as the sets have tokens apart.
+BITS, MOST_BITS = 1024, 1 << 16
+_BITS_HELD = 1 << 21
 # Groups of at most so many members have all their pairs compared at once.
 ALL_PAIRS = 6
 HELD = 6_000_000
@@ -80,21 +82,53 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(sums[bounds[1:]] - sums[bounds[:-1]] + size * np.uint64(0x2545F4914F6CDD1D))
 
 
+def bit_widths(sizes: np.ndarray) -> np.ndarray:
+    """Bits of the bitmaps of sets; as many as tokens, so that they do not fill up."""
+    enough = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    return np.clip(enough, BITS, MOST_BITS)
+
+
 def bitmaps(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     """Per set, whether the number of its tokens that fall on each bit is odd."""
-    width = BITS // 8
+    widths = bit_widths(np.diff(bounds))
+    ends = np.cumsum(widths)
     made: list[bytes] = []
-    step = 2000
-    for low in range(0, len(bounds) - 1, step):
-        cut = bounds[low : low + step + 1]
-        bit = (mix(hashes[cut[0] : cut[-1]]) & np.uint64(BITS - 1)).astype(np.int64)
-        place = owners_of(cut) * BITS + bit
-        odd = np.bincount(place, minlength=(len(cut) - 1) * BITS) & 1
+    while (low := len(made)) < len(widths):
+        before = ends[low] - widths[low]
+        high = int(np.searchsorted(ends, before + _BITS_HELD, "right"))
+        cut, width = bounds[low : high + 1], widths[low:high]
+        first = ends[low:high] - width - before
+        own = owners_of(cut)
+        mask = (width[own] - 1).astype(np.uint64)
+        bit = (mix(hashes[cut[0] : cut[-1]]) & mask).astype(np.int64)
+        odd = np.bincount(first[own] + bit, minlength=int(width.sum())) & 1
         raw = np.packbits(odd.astype(np.uint8)).tobytes()
-        made += [raw[i * width : (i + 1) * width] for i in range(len(cut) - 1)]
+        made += [raw[f // 8 : (f + w) // 8] for f, w in zip(first.tolist(), width.tolist(), strict=True)]
     return made
 
 
+def bits_apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """In how many bits the bitmaps of each pair differ; a wider one is folded to the other's width."""
+    wide = np.array([[len(x), len(y)] for x, y in zip(left, right, strict=True)]).reshape(-1, 2)
+    apart = np.zeros(len(left), np.int64)
+    for widths in np.unique(wide, axis=0):
+        own = np.flatnonzero((wide == widths).all(1))
+        one, two = (
+            np.frombuffer(b"".join(side[i] for i in own), np.uint64).reshape(len(own), -1)
+            for side in (left, right)
+        )
+        one, two = (_folded(x, min(one.shape[1], two.shape[1])) for x in (one, two))
+        apart[own] = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+    return apart
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
 def frequent_buckets(texts: DataFrame) -> np.ndarray:
     """Which buckets of the sketch hold a frequent token; from every row's set."""
     shift = np.uint64(64 - BUCKETS.bit_length() + 1)
@@ -198,11 +232,7 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def job(batches) -> Iterator[dict]:
         for batch in batches:
             a, b, n, m = (batch.column(i).to_numpy() for i in range(4))
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(a), -1)
-                for i in (4, 5)
-            )
-            apart = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+            apart = bits_apart(batch.column(4).to_pylist(), batch.column(5).to_pylist())
             fit = (100 + SIMILAR) * apart <= (100 - SIMILAR) * (n + m)
             yield {"a": a[fit], "b": b[fit]}
 

@@ -276,6 +276,18 @@ def test_jaccard_components(docs, texts, empty, frequent, monkeypatch):
     assert ngram_join.jaccard_components(empty).count() == 0
 
 
+def test_bitmaps_never_exceed_the_tokens_apart():
+    tokens = np.random.default_rng(3).integers(0, 2**63, 90_000, dtype=np.uint64)
+    sizes = [0, 1, 1024, 1025, 4090, 4100, 70_000, 90_000]
+    bounds = np.append(0, np.cumsum(sizes))
+    made = ngram_join.bitmaps(np.concatenate([tokens[:n] for n in sizes]), bounds)
+    pairs = [(i, k) for i in range(len(sizes)) for k in range(len(sizes))]
+    apart = ngram_join.bits_apart([made[i] for i, _ in pairs], [made[k] for _, k in pairs])
+    assert all(d <= abs(sizes[i] - sizes[k]) for d, (i, k) in zip(apart, pairs, strict=True))
+    assert all(d > 0 for d, (i, k) in zip(apart, pairs, strict=True) if abs(i - k) > 1)
+    assert len(ngram_join.bits_apart([], [])) == 0
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(60).selectExpr("id AS a", "id + 1 AS b").union(spark.range(1).selectExpr("100", "101"))
     got = {r["node"]: r["component"] for r in components.components(links).collect()}
