@@ -70,7 +70,7 @@ def _sliced_numbers(df, key, order, out, slices):
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = ranged.withColumn("_inside", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(
-        F.broadcast(offsets), [key, "_slice"]
+        offsets, [key, "_slice"]
     )
     copies = repeat_rows(placed, "_copies", "_copy", slices)
     number = (F.col("_before") + F.col("_inside") + F.col("_copy")).cast("bigint")

@@ -13,6 +13,14 @@ HOT_KEYS = 100_000
 # Rows of a narrow dimension that fit every executor.
 BROADCAST_ROWS = 500_000
 _STEP = 65_536
+_REPEATABLE = (
+    T.StringType,
+    T.IntegralType,
+    T.DecimalType,
+    T.DateType,
+    T.TimestampType,
+    T.BooleanType,
+)
 
 # Hot keys and their number of rows.
 Hot = Mapping
@@ -54,6 +62,22 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def _salt_of(left: DataFrame, key: str, salts: Column) -> Column:
+    """A salt that differs between the rows of a key, and that a re-run task reproduces.
+
+    It comes from the row's other columns, so it holds where `left` is shuffled on the key
+    already, and from the partition id, which spreads exact copies. Floating-point columns, whose
+    sums may differ in a re-run, are left out.
+    """
+    parts = [
+        f.name for f in left.schema.fields if f.name != key and isinstance(f.dataType, _REPEATABLE)
+    ]
+    salt = F.pmod(F.spark_partition_id(), salts)
+    if parts:
+        salt = F.pmod(salt + F.pmod(F.xxhash64(*parts), salts), salts)
+    return salt.cast("int")
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -65,9 +89,7 @@ def salted_join(
     """Equi-join (inner or left) that spreads the hot keys of `left` over many tasks.
 
     A hot key gets a salt per `per_slice` rows; only right rows of hot keys are
-    repeated, once per salt. The salt comes from the id of the left partition: it
-    stays the same when a lost task is run again, and it also spreads exact
-    copies of a row.
+    repeated, once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join does not support {how!r}")
@@ -77,7 +99,7 @@ def salted_join(
     spread = left.join(marks, key, "left").withColumn(
         "_salt",
         F.when(
-            F.col("_salts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_salts"))
+            F.col("_salts").isNotNull(), _salt_of(left, key, F.col("_salts"))
         ).otherwise(0),
     )
     last = F.coalesce(F.col("_salts") - 1, F.lit(0))

@@ -39,12 +39,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def stored_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Store several tables at the same time, so small jobs do not wait for one another."""
     done: dict[str, DataFrame] = {}
-    failed: list[BaseException] = []
+    failed: list[Exception] = []
 
     def store(name: str, df: DataFrame) -> None:
         try:
             done[name] = stored(df, name)
-        except BaseException as error:
+        except Exception as error:
             failed.append(error)
 
     for df in list(tables.values())[:1]:

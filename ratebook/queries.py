@@ -326,12 +326,12 @@ def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_new_contracts(spark: SparkSession, folder: str) -> DataFrame:
-    """Load part of the documents, then all of them: each source file is there once."""
+    """Load part of the documents, some twice, then all of them: each source file is there once."""
     path = new_folder(spark, "raw_contracts")
     documents = testdata.contract_documents(spark, folder)
     part = documents.where(F.crc32(F.col("contract_id").cast("binary")) % 3 != 0)
-    at = F.lit(FIRST_LOAD).cast("timestamp")
-    contract_files.with_load_time(part, at).write.parquet(path)
+    again = part.where(F.crc32(F.col("contract_id").cast("binary")) % 5 == 0)
+    contract_files.append_raw(part.unionByName(again), path)
     contract_files.append_raw(documents, path)
     return (
         spark.read.parquet(path)

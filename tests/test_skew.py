@@ -41,6 +41,26 @@ def test_sliced_row_numbers_are_spread(spark):
     assert len(sizes) > 3
 
 
+def test_salts_hold_after_a_shuffle_on_the_key(spark):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(8000).select(F.lit("a").alias("k"), "id").repartition(16, "k")
+        right = spark.createDataFrame([("a", 1)], "k string, x int")
+        once = salted_join(left, right, "k", "left", hot={"a": 8000}, per_slice=500)
+        more = spark.createDataFrame([("a", 2)], "k string, y int")
+        twice = salted_join(once, more, "k", "left", hot={"a": 8000}, per_slice=500)
+        for joined in (once, twice):
+            tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert sum(t["count"] for t in tasks) == 8000
+            assert max(t["count"] for t in tasks) <= 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_salted_join_equals_the_join(spark):
     left = _lines(spark)
     right = spark.createDataFrame(
