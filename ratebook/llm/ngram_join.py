@@ -7,6 +7,10 @@ shared token is frequent, small sets, whose frequent tokens say little, are inde
 the frequent tokens of the extended prefix; large sets by single ones. All pairs of small groups
 are compared; of a larger group first those along its sizes and with a few pivots, and then, so
 that no link is lost that matters, the pairs of members that are still in different components.
+
+Where the key of a group is the first that two sets share, all their common tokens stand at its
+place or later in both, which bounds how many there are. Pairs beyond that bound are compared in
+the group of their first shared key, or not similar.
 """
 
 from collections.abc import Iterator
@@ -157,8 +161,12 @@ def frequent_buckets(texts: DataFrame) -> np.ndarray:
 
 def index_entries(
     hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys of each set, and the set of each key."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index keys of each set, the set of each key, and the tokens of the set before the key.
+
+    Two sets whose first shared key it is share none of those tokens, so of a pair of tokens, of
+    which the second may be no nearer than next to the first, one token less counts.
+    """
     n = np.diff(bounds)
     shared = -(-SIMILAR * n // 100)  # at least so many tokens are in any similar set
     owner = owners_of(bounds)
@@ -168,9 +176,9 @@ def index_entries(
     rank = np.arange(len(hashes)) - bounds[owner]
     within = rank <= (n - shared)[owner]
     alone = within & (~hot | (n[owner] >= SMALL) | (n[owner] == 1))
-    keys, sets = [hashes[alone]], [owner[alone]]
+    keys, sets, skips = [hashes[alone]], [owner[alone]], [rank[alone]]
     paired = hot & (rank <= (n - shared)[owner] + 1) & (n[owner] <= LARGE) & (n[owner] > 1)
-    tokens, own = hashes[paired], owner[paired]
+    tokens, own, place = hashes[paired], owner[paired], rank[paired]
     for step in range(1, LARGE):
         if len(tokens) <= step:
             break
@@ -179,28 +187,33 @@ def index_entries(
             break
         keys.append(mix(tokens[:-step][both] + np.uint64(3) * tokens[step:][both]))
         sets.append(own[step:][both])
-    return np.concatenate(keys), np.concatenate(sets)
+        skips.append(np.maximum(place[:-step], place[step:] - 1)[both])
+    return np.concatenate(keys), np.concatenate(sets), np.concatenate(skips)
 
 
-def group_pairs(keys: np.ndarray, sets: np.ndarray, sizes: np.ndarray):
+def group_pairs(keys: np.ndarray, sets: np.ndarray, sizes: np.ndarray, skips: np.ndarray):
     """Pairs to compare first, and the members of groups that may need more of them.
 
-    Entries of one key form a group. Returns the two sets of each pair, and (key, set, size) of
-    larger groups.
+    Entries of one key form a group. Returns the two sets of each pair, and (key, set, size, skip)
+    of larger groups.
     """
-    order = np.lexsort((sets, sizes, keys))
-    keys, sets, sizes = keys[order], sets[order], sizes[order]
+    order = np.lexsort((skips, sets, sizes, keys))
+    keys, sets, sizes, skips = keys[order], sets[order], sizes[order], skips[order]
     new = np.append(True, (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1]))[: len(keys)]
-    keys, sets, sizes = keys[new], sets[new], sizes[new].astype(np.int64)
+    keys, sets = keys[new], sets[new]
+    sizes, skips = sizes[new].astype(np.int64), skips[new].astype(np.int64)
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
     members = np.diff(np.append(starts, len(keys)))
     many = np.repeat(members, members)
     stay = many > 1
-    keys, sets, sizes, many = keys[stay], sets[stay], sizes[stay], many[stay]
+    keys, sets, sizes, skips, many = keys[stay], sets[stay], sizes[stay], skips[stay], many[stay]
     left, right = [], []
 
     def compare(a: np.ndarray, b: np.ndarray) -> None:
         fit = (keys[a] == keys[b]) & (100 * sizes[a] >= SIMILAR * sizes[b])
+        # a large group's first pairs are to find its components, here or not first shared
+        left_over = np.minimum(sizes[a] - skips[a], sizes[b] - skips[b])
+        fit &= (many[a] > ALL_PAIRS) | ((100 + SIMILAR) * left_over >= SIMILAR * (sizes[a] + sizes[b]))
         left.append(a[fit])
         right.append(b[fit])
 
@@ -220,7 +233,7 @@ def group_pairs(keys: np.ndarray, sets: np.ndarray, sizes: np.ndarray):
     a, b = np.concatenate(left), np.concatenate(right)
     pairs = np.unique(np.stack([np.minimum(sets[a], sets[b]), np.maximum(sets[a], sets[b])], 1), axis=0)
     pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    return pairs[:, 0], pairs[:, 1], keys[large], sets[large], sizes[large]
+    return pairs[:, 0], pairs[:, 1], keys[large], sets[large], sizes[large], skips[large]
 
 
 def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -310,8 +323,8 @@ def jaccard_components(
                     n=sizes,
                     bits=bitmaps(hashes, bounds),
                 )
-                keys, at = index_entries(hashes, bounds, frequent)
-                held.append((keys, sets[at], sizes[at]))
+                keys, at, skips = index_entries(hashes, bounds, frequent)
+                held.append((keys, sets[at], sizes[at], skips))
                 size += len(keys)
                 if size > HELD:
                     yield from hand_on(held)
@@ -320,17 +333,17 @@ def jaccard_components(
             yield from hand_on(held)
 
     def hand_on(held) -> Iterator[dict]:
-        keys, sets, sizes = (np.concatenate(c) for c in zip(*held, strict=True))
+        keys, sets, sizes, skips = (np.concatenate(c) for c in zip(*held, strict=True))
         # equal sets of the task are one
-        order = np.lexsort((sets, keys))
-        keys, sets, sizes = keys[order], sets[order], sizes[order]
+        order = np.lexsort((skips, sets, keys))
+        keys, sets, sizes, skips = keys[order], sets[order], sizes[order], skips[order]
         new = np.append(True, (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1]))[: len(keys)]
-        keys, sets, sizes = keys[new], sets[new], sizes[new]
+        keys, sets, sizes, skips = keys[new], sets[new], sizes[new], skips[new]
         bounds = range_bounds(keys, parts)
         for part in np.flatnonzero(np.diff(bounds)):
             own = slice(bounds[part], bounds[part + 1])
             ids, at, back = np.unique(sets[own], return_index=True, return_inverse=True)
-            blob = pack(keys[own], back, ids, sizes[own][at])
+            blob = pack(keys[own], back, ids, sizes[own][at], skips[own])
             yield _entry(1, part=[int(part)], entries=[blob])
 
     kind = id_type(docs, id_column)
@@ -348,10 +361,11 @@ def jaccard_components(
         keys = np.concatenate([b[0] for b in blobs])
         sets = np.concatenate([b[2][b[1].astype(np.int64)] for b in blobs])
         sizes = np.concatenate([b[3][b[1].astype(np.int64)] for b in blobs])
-        a, b, group, own, size = group_pairs(keys, sets, sizes)
+        skips = np.concatenate([b[4] for b in blobs])
+        a, b, group, own, size, skip = group_pairs(keys, sets, sizes, skips)
         none = np.zeros(len(a), np.int64)
-        yield {"a": a.view(np.int64), "b": b.view(np.int64), "size": none - 1}
-        yield {"a": group.view(np.int64), "b": own.view(np.int64), "size": size}
+        yield {"a": a.view(np.int64), "b": b.view(np.int64), "size": none - 1, "skip": none}
+        yield {"a": group.view(np.int64), "b": own.view(np.int64), "size": size, "skip": skip}
 
     # pairs have size -1; else a is a group, b a member
     groups = stored(
@@ -359,14 +373,16 @@ def jaccard_components(
             made.where("entries is not null").select("part", "entries"),
             "part",
             compare,
-            "a long, b long, size long",
+            "a long, b long, size long, skip long",
         ),
         "groups",
     )
     pairs = groups.where("size = -1").select("a", "b").distinct()
     bits = made.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     maybe = stored(_possible(pairs, bits), "maybe")
-    large = groups.where("size >= 0").select(F.col("a").alias("group"), F.col("b").alias("set"), "size")
+    large = groups.where("size >= 0").select(
+        F.col("a").alias("group"), F.col("b").alias("set"), "size", "skip"
+    )
     asked = maybe.select(F.col("a").alias("set")).union(maybe.select("b")).union(large.select("set"))
     chosen = members.groupBy("set").agg(F.min("key").alias("key")).join(asked.distinct(), "set")
 
@@ -382,23 +398,30 @@ def jaccard_components(
     links = stored(_similar(maybe, texts), "links")
     found = stored(components(links), "components")
     labelled = large.join(found, large["set"] == found["node"], "left").select(
-        "group", "set", "size", F.coalesce("component", "set").alias("component")
+        "group", "set", "size", "skip", F.coalesce("component", "set").alias("component")
     )
-    # groups of the same members give the same pairs, so one of them is enough
+    # groups of the same members are paired once, each member with the most that it has left
     mixed = labelled.groupBy("group").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
         F.count(F.lit(1)).alias("members"),
         F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("content"),
     )
-    once = mixed.where("low != high").groupBy("members", "content").agg(F.min("group").alias("group"))
-    open_groups = stored(labelled.join(once.select("group"), "group"), "open_groups")
-    one = open_groups.select("group", *[F.col(c).alias(f"{c}_a") for c in ("set", "size", "component")])
-    two = open_groups.select("group", *[F.col(c).alias(f"{c}_b") for c in ("set", "size", "component")])
+    open_groups = stored(
+        labelled.join(mixed.where("low != high"), "group")
+        .groupBy(F.xxhash64("members", "content").alias("group"), "set", "size", "component")
+        .agg((F.col("size") - F.min("skip")).alias("left")),
+        "open_groups",
+    )
+    kept = ("set", "size", "component", "left")
+    one = open_groups.select("group", *[F.col(c).alias(f"{c}_a") for c in kept])
+    two = open_groups.select("group", *[F.col(c).alias(f"{c}_b") for c in kept])
+    both = F.col("size_a") + F.col("size_b")
     across = (
         one.join(two, "group")
         .where("component_a < component_b")
         .where(100 * F.least("size_a", "size_b") >= SIMILAR * F.greatest("size_a", "size_b"))
+        .where((100 + SIMILAR) * F.least("left_a", "left_b") >= SIMILAR * both)
         .select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b"))
         .distinct()
     )
