@@ -1,9 +1,12 @@
 """The registered queries as DuckDB SQL over the same tables."""
 
 from .plans import extraction
-from .plans.checks import CONTRACT_STATUSES, PAYER_TYPES
-from .plans.validation import AMENDMENT_TYPES, RATE_TYPES
 
+# Fixed values, written out here so that a slip in the plans shows: accepted values of the columns.
+CONTRACT_STATUSES = ("ACTIVE", "EXPIRED", "FUTURE")
+PAYER_TYPES = ("COMMERCIAL", "GOVERNMENT", "HMO", "PPO", "EPO")
+RATE_TYPES = ("PER_DIEM", "PERCENTAGE", "FLAT_FEE", "FEE_SCHEDULE", "CASE_RATE")
+AMENDMENT_TYPES = ("MODIFICATION", "RATE_CHANGE", "TERMINATION", "EXTENSION", "ADDENDUM")
 AS_OF = "DATE '1999-01-01'"
 FIRST_DAY = "DATE '1995-01-01'"
 LAST_DAY = "DATE '2006-12-31'"
@@ -397,7 +400,7 @@ def _dq_report() -> str:
     return materialized
 
 
-def _history() -> str:
+def _history(repeated: bool = False) -> str:
     columns = (
         "contract_id, payer_id, payer_name, provider_npi, provider_name, effective_date, "
         "termination_date, contract_status, contract_duration_days, extracted_at, "
@@ -413,11 +416,37 @@ def _history() -> str:
         "contract_status"
     ).split()
     changed = " OR ".join(f"b.{c} IS DISTINCT FROM a.{c}" for c in compared)
+    if repeated:
+        renamed = "SELECT * REPLACE (payer_name || {} AS payer_name) FROM {} WHERE k % 4 = 0"
+        return with_relations(
+            f"""
+      , base AS (SELECT *, 'ACTIVE' AS contract_status,
+          date_diff('day', effective_date, termination_date) AS contract_duration_days FROM con),
+      a1 AS (SELECT * FROM base WHERE k % 13 <> 0 OR k % 91 = 0),
+      b1 AS (SELECT * REPLACE (
+          CASE WHEN k % 10 = 0 THEN payer_name || ' NEW' ELSE payer_name END AS payer_name,
+          CASE WHEN k % 15 = 0 THEN 'EXPIRED' ELSE 'ACTIVE' END AS contract_status)
+        FROM base WHERE k % 7 <> 0),
+      a AS (SELECT {columns} FROM (
+        SELECT * FROM a1 UNION ALL {renamed.format("' B'", "a1")})),
+      b AS (SELECT {columns} FROM (
+        SELECT * FROM b1
+        UNION ALL {renamed.format("CASE WHEN k % 8 = 0 THEN ' B' ELSE ' C' END", "b1")}))
+      SELECT {columns}, {version.format(at=first)},
+        CASE WHEN contract_id IN (SELECT contract_id FROM b) AND NOT EXISTS (
+               SELECT 1 FROM b WHERE b.contract_id = a.contract_id AND NOT ({changed}))
+             THEN TIMESTAMP '{second}' END AS dbt_valid_to
+      FROM a
+      UNION ALL
+      SELECT {columns}, {version.format(at=second)}, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+      FROM b WHERE NOT EXISTS (
+        SELECT 1 FROM a WHERE a.contract_id = b.contract_id AND NOT ({changed}))"""
+        ).replace("\n\n      , base", ",\n base")
     return with_relations(
         f"""
       , base AS (SELECT *, 'ACTIVE' AS contract_status,
           date_diff('day', effective_date, termination_date) AS contract_duration_days FROM con),
-      a AS (SELECT {columns} FROM base WHERE k % 13 <> 0),
+      a AS (SELECT {columns} FROM base WHERE k % 13 <> 0 OR k % 91 = 0),
       b AS (SELECT {columns} FROM (SELECT * REPLACE (
           CASE WHEN k % 10 = 0 THEN payer_name || ' NEW' ELSE payer_name END AS payer_name,
           CASE WHEN k % 15 = 0 THEN 'EXPIRED' ELSE 'ACTIVE' END AS contract_status)
@@ -658,6 +687,7 @@ ORACLE: dict[str, str] = {
     ),
     "dq_report": _dq_report(),
     "contract_history_two_loads": _history(),
+    "contract_history_repeated_ids": _history(repeated=True),
     "rates_of_documents": _records("SELECT * FROM rate"),
     "amendments_of_documents": _records("SELECT * FROM amendment"),
     "json_roundtrip": _records(

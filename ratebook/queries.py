@@ -21,6 +21,7 @@ LAST_DAY = date(2006, 12, 31)
 EXTRACTED_AT = datetime(2024, 1, 15, 10, 30)
 FIRST_LOAD = datetime(2024, 1, 1)
 SECOND_LOAD = datetime(2024, 2, 1)
+THIRD_LOAD = datetime(2024, 3, 1)
 BUCKET = "raw"
 FILES_PER_BATCH = 1000
 
@@ -275,9 +276,8 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
 # --- history ---------------------------------------------------------------
 
 
-def contract_history_two_loads(spark: SparkSession, folder: str) -> DataFrame:
-    """Second load: some payers renamed, a day later some contracts expired, some are new."""
-    contracts = _stored_contracts(spark, folder)
+def _two_loads(contracts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Second load: some payers renamed, some contracts expired, new or missing; each is in one."""
     number = F.regexp_extract("contract_id", r"\d+", 0).cast("bigint")
     current = contracts.select(
         "*",
@@ -287,7 +287,7 @@ def contract_history_two_loads(spark: SparkSession, folder: str) -> DataFrame:
         ),
         number.alias("number"),
     )
-    first = current.where("number % 13 <> 0")
+    first = current.where("number % 13 <> 0 OR number % 7 = 0")
     second = current.where("number % 7 <> 0").withColumns(
         {
             "payer_name": F.when(F.col("number") % 10 == 0, F.concat("payer_name", F.lit(" NEW")))
@@ -295,11 +295,34 @@ def contract_history_two_loads(spark: SparkSession, folder: str) -> DataFrame:
             "contract_status": F.when(F.col("number") % 15 == 0, "EXPIRED").otherwise("ACTIVE"),
         }
     )
+    return first, second
+
+
+def contract_history_two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    contracts = _stored_contracts(spark, folder)
+    first, second = _two_loads(contracts)
     hot = hot_keys(contracts, "contract_id")
     history = stored(contract_history(None, first, FIRST_LOAD), "contract_history")
     return contract_history(history, second, SECOND_LOAD, hot)
 
 
+def contract_history_repeated_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fourth contract is there with two payers, and the third load repeats the second."""
+    contracts = _stored_contracts(spark, folder)
+    hot = hot_keys(contracts, "contract_id")
+
+    def with_copies(load: DataFrame, every: int) -> DataFrame:
+        other = F.when(F.col("number") % every == 0, " B").otherwise(" C")
+        copies = load.where("number % 4 = 0")
+        return load.unionByName(copies.withColumn("payer_name", F.concat("payer_name", other)))
+
+    first, second = _two_loads(contracts)
+    second = with_copies(second, 8)
+    one = stored(contract_history(None, with_copies(first, 4), FIRST_LOAD), "contract_history")
+    two = stored(contract_history(one, second, SECOND_LOAD, hot), "contract_history")
+    return contract_history(two, second, THIRD_LOAD, hot)
+
+
 # --- nested records, JSON, validation --------------------------------------
 
 
@@ -473,6 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fact_of_reloaded_documents,
         dq_report,
         contract_history_two_loads,
+        contract_history_repeated_ids,
         rates_of_documents,
         amendments_of_documents,
         json_roundtrip,
