@@ -681,6 +681,12 @@ ORACLE: dict[str, str] = {
     ),
     "dim_date": _calendar(),
     "fact_contracted_rates": with_relations("SELECT * FROM fact"),
+    "published_fact": with_relations("SELECT * FROM fact"),
+    "published_payers": with_relations(
+        "SELECT d.* REPLACE (r.payer_type AS payer_type, r.payer_state AS payer_state, "
+        "r.payer_website AS payer_website) FROM d_payer d LEFT JOIN ref_pay r "
+        "ON r.payer_id = d.payer_id"
+    ),
     "fact_of_documents": _records("SELECT * FROM fact"),
     "fact_of_reloaded_documents": _records(
         "SELECT * FROM fact", _RECORDS + f" UNION ALL {_RECORDS} WHERE o_orderkey % 10 = 0"

@@ -12,7 +12,8 @@ from .plans import build, extraction, intermediate, marts, staging
 from .plans.history import contract_history
 from .plans.validation import validate
 from .sources import contracts as contract_files
-from .sources import testdata
+from .sources import seeds, testdata
+from .sources import tables as layered
 from .streaming import events, ingest
 
 AS_OF = date(1999, 1, 1)
@@ -273,6 +274,35 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- published tables ------------------------------------------------------
+
+
+def _publish_to(spark: SparkSession, name: str) -> None:
+    """Keep the database of the table's layer in the shared folder, unless there is one already."""
+    where = new_folder(spark, layered.layer(name))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layered.layer(name)} LOCATION '{where}'")
+
+
+def published_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact as a bucketed table of its layer, read back."""
+    fact = fact_contracted_rates(spark, folder)
+    _publish_to(spark, "fact_contracted_rates")
+    layered.save_fact(fact, buckets=32)
+    return layered.load_table(spark, "fact_contracted_rates")
+
+
+def published_payers(spark: SparkSession, folder: str) -> DataFrame:
+    """Payers with a reference from a seed file, as a table of their layer, read through a view."""
+    path = new_folder(spark, "seeds") + "/ref_payers.csv"
+    _ref_payers(spark, folder).write.option("header", True).csv(path)
+    reference = seeds.read_seed(spark, path, "ref_payers")
+    payers = _plain(marts.dim_payer(_stored_contracts(spark, folder), reference, AS_OF))
+    _publish_to(spark, "dim_payer")
+    layered.save_table(payers, "dim_payer")
+    layered.save_view(layered.load_table(spark, "dim_payer"), "published_payers")
+    return spark.table("published_payers")
+
+
 # --- history ---------------------------------------------------------------
 
 
@@ -495,6 +525,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fact_of_documents,
         fact_of_reloaded_documents,
         dq_report,
+        published_fact,
+        published_payers,
         contract_history_two_loads,
         contract_history_repeated_ids,
         rates_of_documents,
