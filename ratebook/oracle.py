@@ -8,7 +8,7 @@ PAYER_TYPES = ("COMMERCIAL", "GOVERNMENT", "HMO", "PPO", "EPO")
 RATE_TYPES = ("PER_DIEM", "PERCENTAGE", "FLAT_FEE", "FEE_SCHEDULE", "CASE_RATE")
 AMENDMENT_TYPES = ("MODIFICATION", "RATE_CHANGE", "TERMINATION", "EXTENSION", "ADDENDUM")
 AS_OF = "DATE '1999-01-01'"
-FIRST_DAY = "DATE '1995-01-01'"
+FIRST_DAY = "DATE '1994-01-01'"
 LAST_DAY = "DATE '2006-12-31'"
 
 # Named relations; each may use the ones before it.
@@ -688,6 +688,7 @@ ORACLE: dict[str, str] = {
         "ON r.payer_id = d.payer_id"
     ),
     "fact_of_documents": _records("SELECT * FROM fact"),
+    "fact_of_latest_documents": _records("SELECT * FROM fact"),
     "fact_of_reloaded_documents": _records(
         "SELECT * FROM fact", _RECORDS + f" UNION ALL {_RECORDS} WHERE o_orderkey % 10 = 0"
     ),

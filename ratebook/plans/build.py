@@ -46,14 +46,31 @@ def _lines_per_contract(contracts: DataFrame, array: str, element: str, min_rows
     )
 
 
-def stage(raw: DataFrame, strict: bool = True, min_hot_rows: int = HOT_ROWS) -> Staged:
+def latest_of_each(raw: DataFrame) -> DataFrame:
+    """One row per contract: the one loaded last, of equal times the one with the greatest content.
+
+    Combines before the shuffle, so each task sends a contract once, however often it was loaded.
+    """
+    last = F.struct("loaded_at", F.to_json(F.struct(*raw.columns)))
+    row = F.max_by(F.struct(*raw.columns), last).alias("row")
+    return raw.groupBy("contract_id").agg(row).select("row.*")
+
+
+def stage(
+    raw: DataFrame, strict: bool = True, min_hot_rows: int = HOT_ROWS, latest_load: bool = False
+) -> Staged:
     """Staging tables from nested raw contracts.
 
     With unique contract ids every line is numbered inside its own row and
     nothing is shuffled. Otherwise the lines of a contract meet in a window, and
     contracts too large for one task are numbered over slices. The nested
     columns are read where they are unnested and never copied.
+
+    Contracts that were loaded several times multiply their lines, as joins on the id do. With
+    `latest_load` only the row loaded last is used; the raw rows left are stored once.
     """
+    if latest_load:
+        raw = stored(latest_of_each(raw), "latest_contracts")
     contracts = staging.stg_contracts(raw, strict)
     headers = stored(contracts.drop(*staging.NESTED), "stg_contracts")
     unique = contract_ids_unique(headers)

@@ -17,7 +17,7 @@ from .sources import tables as layered
 from .streaming import events, ingest
 
 AS_OF = date(1999, 1, 1)
-FIRST_DAY = date(1995, 1, 1)
+FIRST_DAY = date(1994, 1, 1)
 LAST_DAY = date(2006, 12, 31)
 EXTRACTED_AT = datetime(2024, 1, 15, 10, 30)
 FIRST_LOAD = datetime(2024, 1, 1)
@@ -249,9 +249,10 @@ def fact_contracted_rates(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(build.fact_table(staged, rates, dimensions))
 
 
-def _fact_of_documents(documents: DataFrame) -> DataFrame:
+def _fact_of_documents(documents: DataFrame, latest_load: bool = False) -> DataFrame:
     raw = contract_files.with_load_time(documents)
-    tables = build.build(build.stage(raw), AS_OF, first_day=FIRST_DAY, last_day=LAST_DAY)
+    staged = build.stage(raw, latest_load=latest_load)
+    tables = build.build(staged, AS_OF, first_day=FIRST_DAY, last_day=LAST_DAY)
     return _plain(tables["fact_contracted_rates"])
 
 
@@ -265,6 +266,11 @@ def fact_of_reloaded_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _fact_of_documents(testdata.reloaded_documents(spark, folder))
 
 
+def fact_of_latest_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Of documents loaded twice, the latest load counts."""
+    return _fact_of_documents(testdata.reloaded_documents(spark, folder), latest_load=True)
+
+
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     tables = build.build(
         _staged(spark, folder, amendments=True), AS_OF, first_day=FIRST_DAY, last_day=LAST_DAY
@@ -524,6 +530,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fact_contracted_rates,
         fact_of_documents,
         fact_of_reloaded_documents,
+        fact_of_latest_documents,
         dq_report,
         published_fact,
         published_payers,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratebook.operators.history import apply_snapshot
-from ratebook import schemas
+from ratebook import queries, schemas
 from ratebook.operators.quality import run_checks
 from ratebook.plans import build, checks, history, intermediate, marts, staging
 from ratebook.plans.extraction import extract_contracts, split_table
@@ -460,3 +460,23 @@ def test_history_of_repeated_keys_adds_nothing_for_equal_loads(spark):
     assert [tuple(r) for r in closed] == [("a", "1")]
     assert three.count() == 6
     assert apply_snapshot(three, changed, "k", ["v"], days[2]).count() == 6
+
+
+def test_latest_load(spark):
+    raw = spark.sql(
+        """SELECT * FROM VALUES ('a', TIMESTAMP '2024-01-01', 'old', array(1)),
+             ('a', TIMESTAMP '2024-01-02', 'new', array(2, 3)), ('a', TIMESTAMP '2024-01-02', 'new', array(2, 3)),
+             ('b', TIMESTAMP '2024-01-01', 'x', NULL), ('b', NULL, 'z', NULL)
+           AS t(contract_id, loaded_at, payer_name, lines)"""
+    )
+    got = sorted((r.contract_id, r.payer_name, r.lines) for r in build.latest_of_each(raw).collect())
+    assert got == [("a", "new", [2, 3]), ("b", "x", None)]
+    assert build.latest_of_each(raw.limit(0)).count() == 0
+
+
+def test_no_date_without_its_key(spark):
+    """The calendar of the fact covers all dates of the contracts."""
+    fact = queries.fact_contracted_rates(spark, FOLDER)
+    assert fact.where("rate_effective_date IS NOT NULL AND effective_date_key IS NULL").count() == 0
+    late = "contract_termination_date IS NOT NULL AND termination_date_key IS NULL"
+    assert fact.where(late).count() == 0
