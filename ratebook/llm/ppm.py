@@ -3,11 +3,14 @@
 The model is a trie of byte contexts up to an order, pretrained on counts from every training
 document. A symbol is looked for in the longest context that the trie has; where it is missing,
 the escape estimate (method C: number of distinct symbols) is paid and the next shorter context
-is asked, the symbols of the longer one being excluded from its counts. All positions of a batch
+is asked, the symbols of the longer one being excluded from its counts. All grams of a batch
 descend together, level by level.
+
+No gram is left out and no process holds the whole trie: contexts of two bytes and more are dealt
+by their last two, so a gram meets every context it can descend through in one part. The contexts
+below, of one byte and none, have a fixed number of entries and go to every part.
 """
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,20 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.storage import stored
-from .arrays import lower_ascii, mix, owners_of, pack, span_hashes, split_words, symbols
-from .arrays import text_slices, unpack
+from .arrays import SLICE_BYTES, compress_text, decompress_text, lower_ascii, mix, owners_of, pack
+from .arrays import span_hashes, split_words, symbols, text_slices, unpack
 from .rows import group_batches, id_type, map_batches, partitions
 
-# Longest context in bytes, and the most (context, symbol) pairs kept in the trie: the model's
-# capacity. All are counted; of equal counts at the border none is kept.
+# Longest context in bytes.
 ORDER = 5
-CAPACITY = 1_000_000
 # Bytes that UTF-8 never uses stand for the time before a text and for its end.
 _BEFORE, _END = 0xFE, 0xFF
 _ALPHABET = 257
 _FREE = np.uint64(2**64 - 1)
-# Entries of documents and words that a task holds before it hands them on.
+# Entries of documents, words and grams that a task holds before it hands them on.
 HELD = 4_000_000
+# Symbols after one byte: entries of the contexts that go to every part, and parts of that vector.
+_PAIRS = 1 << 16
+_VECTORS = 16
 
 
 def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +68,32 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[starts], np.diff(np.append(starts, len(keys)))
 
 
+class _Sums:
+    """Amounts by key, added up whenever as many wait as there are keys."""
+
+    def __init__(self) -> None:
+        self._done = (np.empty(0, np.uint64), np.empty(0, np.int64))
+        self._held: list[tuple[np.ndarray, np.ndarray]] = []
+        self._size = 0
+
+    def add(self, keys: np.ndarray, amounts: np.ndarray) -> None:
+        self._held.append((keys, amounts.astype(np.int64)))
+        self._size += len(keys)
+        if self._size > max(HELD // 2, len(self._done[0])):
+            self.total()
+
+    def __len__(self) -> int:
+        """Distinct keys among those added up so far."""
+        return len(self._done[0])
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if self._held:
+            keys, amounts = (np.concatenate(c) for c in zip(self._done, *self._held, strict=True))
+            self._held, self._size = [], 0
+            self._done = _sum_by(keys, amounts)
+        return self._done
+
+
 def _by_part(keys: np.ndarray, parts: int) -> np.ndarray:
     """Bounds of `parts` equal ranges of the hashed number line in sorted keys."""
     edges = [(i << 64) // parts for i in range(1, parts)]
@@ -72,66 +102,34 @@ def _by_part(keys: np.ndarray, parts: int) -> np.ndarray:
     ).astype(np.int64)
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """gram and its count over all rows of a text column: combined per task, then by gram."""
-    parts = partitions(texts.sparkSession)
-
-    def job(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def hand_on():
-            keys, counts = _sum_by(*map(np.concatenate, zip(*held, strict=True)))
-            order = np.argsort(mix(keys))
-            keys, counts = keys[order], counts[order]
-            bounds = _by_part(mix(keys), parts)
-            for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                own = np.argsort(keys[a:b])
-                yield {"part": [part], "grams": [pack(keys[a:b][own], counts[a:b][own])]}
+def count_pairs(texts: DataFrame) -> np.ndarray:
+    """Counts of each symbol after each byte over all rows; a fixed number of them."""
+    schema = "part int, counts binary"
 
+    def job(batches) -> Iterator[dict]:
+        counts = np.zeros(_PAIRS, np.int64)
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
-                held.append(_runs(gram_keys(data, offsets)[0]))
-            if sum(len(k) for k, _ in held) > 2 * HELD:
-                held = [_sum_by(*map(np.concatenate, zip(*held, strict=True)))]
-                if len(held[0][0]) > HELD:
-                    yield from hand_on()
-                    held = []
-        if held:
-            yield from hand_on()
-
-    def add_up(table: pa.Table):
-        found = [unpack(v.as_py()) for v in table.column("grams")]
-        keys, counts = _sum_by(*map(np.concatenate, zip(*found, strict=True)))
-        yield {"gram": keys.astype(np.int64), "n": counts.astype(np.int64)}
+                keys = gram_keys(data, offsets)[0] & np.uint64(_PAIRS - 1)
+                counts += np.bincount(keys.astype(np.int64), minlength=_PAIRS)
+        vectors = counts.reshape(_VECTORS, -1)
+        yield {"part": np.arange(_VECTORS), "counts": [c.tobytes() for c in vectors]}
 
-    packed = map_batches(texts, job, "part int, grams binary")
-    return group_batches(packed, "part", add_up, "gram long, n long")
+    def add_up(table: pa.Table) -> Iterator[dict]:
+        vectors = [np.frombuffer(v.as_py(), np.int64) for v in table.column("counts")]
+        yield {"part": [table.column("part")[0].as_py()], "counts": [sum(vectors).tobytes()]}
 
+    counts = np.zeros((_VECTORS, _PAIRS // _VECTORS), np.int64)
+    for row in group_batches(map_batches(texts, job, schema), "part", add_up, schema).collect():
+        counts[row["part"]] = np.frombuffer(row["counts"], np.int64)
+    return counts.reshape(-1)
 
-def most_frequent(grams: DataFrame, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The grams whose count is at least the least count that keeps them within the capacity."""
-    grams = stored(grams, "grams")
-    size = F.floor(F.log2("n") * 16).cast("int")
-    sizes = grams.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("k"))
-    total, least = 0, -1
-    for row in sizes.orderBy(F.desc("size")).collect():
-        total += row["k"]
-        if total > capacity:
-            least = row["size"]
-            break
 
-    def job(batches) -> Iterator[dict]:
-        for batch in batches:
-            keys = batch.column(0).to_numpy()
-            order = np.argsort(keys)
-            counts = batch.column(1).to_numpy()
-            yield {"grams": [pack(keys[order], counts[order])]}
-
-    # packed, so that the driver holds a few bytes for each gram
-    packed = map_batches(grams.where(size > least), job, "grams binary").collect()
-    found = [unpack(row["grams"]) for row in packed] or [(np.empty(0, np.uint64),) * 2]
-    keys, counts = _sum_by(*map(np.concatenate, zip(*found, strict=True)))
-    return keys, counts.astype(np.int64)
+def gram_parts(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each gram, by the last two bytes of its context."""
+    contexts = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64)) >> np.uint64(32)
+    own = (contexts * np.uint64(parts)) >> np.uint64(32)
+    return own.astype(np.int32)[((grams >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)]
 
 
 class _Table:
@@ -173,14 +171,23 @@ class _Table:
 
 
 class Trie:
-    """Log probabilities of a static model, from the counts of its longest grams."""
+    """Log probabilities of a static model, from the counts of its longest grams.
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray) -> None:
+    `pairs`: counts of each symbol after each byte in the whole model, where `grams` are only those
+    of one part of it; grams of that part get the probabilities of the whole.
+    """
+
+    def __init__(
+        self, grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray | None = None
+    ) -> None:
         keys, full, excluded = [], [], []
         self._context_keys, fields = [], []
         child = None
         levels = []
         for order in range(ORDER, -1, -1):
+            if order == 1 and pairs is not None:
+                grams = np.flatnonzero(pairs).astype(np.uint64)
+                counts = pairs[np.flatnonzero(pairs)]
             grams, counts = _sum_by(grams & np.uint64((1 << 8 * (order + 1)) - 1), counts)
             levels.append((order, grams, counts))
         for order, grams, counts in reversed(levels):
@@ -222,7 +229,8 @@ class Trie:
         self._full = np.concatenate(full).astype(np.float32)
         self._excluded = np.concatenate(excluded).astype(np.float32)
         self._contexts = _Table(np.concatenate(self._context_keys))
-        self._fields = np.concatenate(fields).astype(np.float32)
+        # the last row is that of no context
+        self._fields = np.concatenate([*fields, np.zeros((1, 3))]).astype(np.float32)
         known = int(child is not None and len(levels[-1][1]))
         self._uniform = -float(np.log10(max(1, _ALPHABET - known)))
 
@@ -257,17 +265,6 @@ class Trie:
         return result
 
 
-_tries: dict[str, Trie] = {}
-
-
-def _trie(name: str, shared) -> Trie:
-    """The trie of a broadcast model, made once per Python worker."""
-    if name not in _tries:
-        _tries.clear()
-        _tries[name] = Trie(*shared.value)
-    return _tries[name]
-
-
 def _word_entries(
     data: np.ndarray, offsets: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -286,7 +283,6 @@ def _word_entries(
 def score(
     docs: DataFrame,
     held_out: Column,
-    capacity: int = CAPACITY,
     id_column: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -295,9 +291,10 @@ def score(
     `held_out`: an expression over the input; rows where it is true are scored but not learned
     from, rows where it is null are learned from. Null and empty texts are one end symbol.
     Repeated rows count each; a null id stays; other columns are left out; an empty table gives
-    none; without training rows every symbol is equally likely. The trie's size is bounded by
-    `capacity`; words are counted by 64-bit hash in the shuffle, those of a task once each, so
-    a very frequent word is no larger than a rare one.
+    none; without training rows every symbol is equally likely. Every gram of the training rows
+    is in the trie, whose parts grow with the input. Grams are counted and looked up, and words
+    by 64-bit hash, in the shuffle, those of a task once each, so a very frequent one is no
+    larger than a rare one.
     """
     rows = docs.select(
         docs[id_column].alias("doc_id"),
@@ -305,32 +302,34 @@ def score(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
     spark = docs.sparkSession
-    model = most_frequent(count_grams(rows.where(~F.col("held_out")).select("text")), capacity)
-    shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+    pairs = count_pairs(rows.where(~F.col("held_out")).select("text"))
+    shared = spark.sparkContext.broadcast(pairs)
     parts = partitions(spark)
     kind = id_type(docs, id_column)
 
     def job(batches) -> Iterator[dict]:
         held: list[tuple] = []
-        chunk, size = 0, 0
+        seen, chunk, size = _Sums(), 0, 0
         for batch in batches:
             trained = ~batch.column(2).to_numpy(zero_copy_only=False)
             for low, high, data, offsets in text_slices(batch.column(1)):
                 grams, owner = gram_keys(data, offsets)
-                found = np.bincount(owner, _trie(name, shared).log10(grams), high - low)
+                # the lowest bit tells grams that are only asked for from those learned
+                asked = (~trained[low:high]).astype(np.uint64)[owner]
+                seen.add(*_runs((grams << np.uint64(1)) | asked))
                 words, texts, times, n = _word_entries(data, offsets)
                 held.append(
-                    (words, texts, times, n, trained[low:high], found, batch.column(0).slice(low, high - low))
+                    (words, texts, times, n, trained[low:high], data, np.diff(offsets), batch.column(0).slice(low, high - low))
                 )
                 size += len(words)
-                if size > HELD:
-                    yield from hand_on(held, chunk)
-                    held, chunk, size = [], chunk + 1, 0
+                if size > HELD or len(seen) > HELD // 2:
+                    yield from hand_on(held, seen, chunk)
+                    held, seen, chunk, size = [], _Sums(), chunk + 1, 0
         if held:
-            yield from hand_on(held, chunk)
+            yield from hand_on(held, seen, chunk)
 
-    def hand_on(held: list[tuple], chunk: int) -> Iterator[dict]:
-        words, texts, times, n, trained, found, ids = zip(*held, strict=True)
+    def hand_on(held: list[tuple], seen: _Sums, chunk: int) -> Iterator[dict]:
+        words, texts, times, n, trained, data, lengths, ids = zip(*held, strict=True)
         before = np.cumsum([0, *map(len, n)])
         n, trained = np.concatenate(n), np.concatenate(trained)
         texts = np.concatenate([t + b for t, b in zip(texts, before[:-1], strict=True)])
@@ -339,40 +338,72 @@ def score(
         words, texts, times = words[order], texts[order], times[order]
         number = (TaskContext.get().partitionId() << 20) | chunk
         bounds = _by_part(words, parts)
-        ids = pa.concat_arrays(ids)
         frame = pa.RecordBatch.from_arrays(
-            [ids, pa.array(n), pa.array(~trained), pa.array(np.concatenate(found))],
-            names=["doc_id", "n", "held_out", "score"],
+            [pa.concat_arrays(ids), pa.array(n), pa.array(~trained), pa.array(np.concatenate(lengths))],
+            names=["doc_id", "n", "held_out", "bytes"],
         )
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, frame.schema) as writer:
             writer.write_batch(frame)
         yield {
-            "part": [number % parts],
+            "part": [None],
             "chunk": [number],
             "texts": [sink.getvalue().to_pybytes()],
+            "raw": [compress_text(np.concatenate(data).tobytes())],
             "words": [None],
+            "grams": [None],
         }
+        keys, counts = seen.total()
+        grams = keys >> np.uint64(1)
+        starts = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+        known = np.add.reduceat(np.where(keys & np.uint64(1), 0, counts), starts)
+        grams = grams[starts]
+        own_part = gram_parts(grams, parts)
+        order = np.argsort(own_part, kind="stable")
+        grams, known = grams[order], known[order]
+        edges = np.searchsorted(own_part[order], np.arange(parts + 1))
         for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            if a == b:
+            low, high = edges[part], edges[part + 1]
+            if a == b and low == high:
                 continue
-            own = words[a:b]
-            starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            sizes = np.diff(np.append(starts, b - a))
-            learned = np.add.reduceat(times[a:b] * trained[texts[a:b]], starts)
+            packed = None
+            if a < b:
+                own = words[a:b]
+                starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                sizes = np.diff(np.append(starts, b - a))
+                learned = np.add.reduceat(times[a:b] * trained[texts[a:b]], starts)
+                packed = pack(own[starts], sizes, learned, texts[a:b], times[a:b])
             yield {
                 "part": [part],
                 "chunk": [number],
                 "texts": [None],
-                "words": [pack(own[starts], sizes, learned, texts[a:b], times[a:b])],
+                "raw": [None],
+                "words": [packed],
+                "grams": [pack(grams[low:high], known[low:high]) if low < high else None],
             }
 
     def look_up(table: pa.Table) -> Iterator[dict]:
+        yield from look_up_grams(table)
+        yield from look_up_words(table)
+
+    def look_up_grams(table: pa.Table) -> Iterator[dict]:
+        given = zip(table.column("chunk").to_pylist(), table.column("grams").to_pylist(), strict=True)
+        asked, sums = [(c, g) for c, g in given if g is not None], _Sums()
+        for _, grams in asked:
+            sums.add(*unpack(grams))
+        keys, counts = sums.total()
+        trie = Trie(keys[counts > 0], counts[counts > 0], shared.value)
+        logs = np.empty(len(keys), np.float32)
+        for low in range(0, len(keys), SLICE_BYTES):
+            logs[low : low + SLICE_BYTES] = trie.log10(keys[low : low + SLICE_BYTES])
+        for number, grams in asked:
+            own = unpack(grams)[0]
+            found = logs[np.searchsorted(keys, own)]
+            yield _reply(number, grams=pack(own, found.view(np.uint32)))
+
+    def look_up_words(table: pa.Table) -> Iterator[dict]:
         chunks = table.column("chunk").to_pylist()
         given = table.column("words").to_pylist()
-        for number, texts in zip(chunks, table.column("texts").to_pylist(), strict=True):
-            if texts is not None:
-                yield _reply(number, texts=texts)
         asked = [(c, unpack(w)) for c, w in zip(chunks, given, strict=True) if w is not None]
         if not asked:
             return
@@ -389,22 +420,23 @@ def score(
             yield _reply(number, sums=pack(at, sums.view(np.uint64), known))
         yield _reply(-1, tokens=int(counts.sum()), distinct=int((counts > 0).sum()))
 
-    def _reply(number, texts=None, sums=None, tokens=0, distinct=0) -> dict:
+    def _reply(number, sums=None, grams=None, tokens=0, distinct=0) -> dict:
         return {
             "chunk": [number],
-            "texts": [texts],
             "sums": [sums],
+            "grams": [grams],
             "tokens": [tokens],
             "vocabulary": [distinct],
         }
 
-    asked = map_batches(rows, job, "part int, chunk long, texts binary, words binary")
+    made = "part int, chunk long, texts binary, raw binary, words binary, grams binary"
+    handed = stored(map_batches(rows, job, made), "asked")
     replies = stored(
         group_batches(
-            asked,
+            handed.where("part IS NOT NULL").select("part", "chunk", "words", "grams"),
             "part",
             look_up,
-            "chunk long, texts binary, sums binary, tokens long, vocabulary long",
+            "chunk long, sums binary, grams binary, tokens long, vocabulary long",
         ),
         "replies",
     )
@@ -412,10 +444,21 @@ def score(
     train_tokens, vocabulary = (int(t or 0) for t in totals)
 
     def gather(table: pa.Table) -> Iterator[dict]:
-        for texts in table.column("texts").to_pylist():
+        given = [unpack(g) for g in table.column("grams").to_pylist() if g is not None]
+        known_grams = _Table(np.concatenate([g for g, _ in given]))
+        logs = np.concatenate([v.astype(np.uint32).view(np.float32) for _, v in given])
+        for texts, raw in zip(table.column("texts").to_pylist(), table.column("raw").to_pylist(), strict=True):
             if texts is None:
                 continue
             frame = pa.ipc.open_stream(texts).read_next_batch()
+            score = np.zeros(len(frame))
+            ends = np.append(0, np.cumsum(frame.column(3).to_numpy()))
+            whole = pa.LargeStringArray.from_buffers(
+                len(frame), pa.py_buffer(ends), pa.py_buffer(decompress_text(raw))
+            )
+            for low, high, data, offsets in text_slices(whole):
+                grams, owner = gram_keys(data, offsets)
+                score[low:high] = np.bincount(owner, logs[known_grams.find(grams)], high - low)
             n = frame.column(1).to_numpy()
             sums, known = np.zeros(len(n)), np.zeros(len(n), np.int64)
             for reply in table.column("sums").to_pylist():
@@ -431,11 +474,15 @@ def score(
                 "n_known": known,
                 "train_tokens": np.full(len(n), train_tokens),
                 "base_score": sums - n * np.log10(train_tokens + vocabulary + 1.0),
-                "score": frame.column(3),
+                "score": score,
             }
 
     return group_batches(
-        replies.where("chunk >= 0").drop("tokens", "vocabulary"),
+        handed.where("part IS NULL")
+        .select("chunk", "texts", "raw")
+        .unionByName(
+            replies.where("chunk >= 0").select("chunk", "sums", "grams"), allowMissingColumns=True
+        ),
         "chunk",
         gather,
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "

@@ -323,6 +323,29 @@ def test_trie_probabilities_sum_to_one():
         assert 0.99 < (10 ** trie.log10(every)).sum() <= 1.0001
 
 
+def test_ppm_keeps_every_gram(spark):
+    """More distinct grams than the cap there once was, most seen once: scores of the whole trie."""
+    rng = np.random.default_rng(7)
+    texts = ["".join(map(chr, t)) for t in rng.integers(33, 127, (300, 4000))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    data = np.frombuffer("".join(texts[:270]).encode(), np.uint8)
+    keys, counts = ppm._runs(ppm.gram_keys(data, np.arange(271) * 4000)[0])
+    assert len(keys) > 1_000_000
+    trie = ppm.Trie(keys, counts)
+    got = {r["doc_id"]: r["score"] for r in ppm.score(rows, F.col("doc_id") >= 270).collect()}
+    assert len(got) == 300
+    for i in (0, 150, 270, 299):
+        own = np.frombuffer(texts[i].encode(), np.uint8)
+        whole = trie.log10(ppm.gram_keys(own, np.array([0, len(own)]))[0]).sum()
+        assert abs(got[i] - whole) < 1e-5 * abs(whole)
+
+
+def test_ppm_without_training_rows(spark):
+    rows = spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in ppm.score(rows, F.lit(True)).collect()}
+    assert abs(got[1] + 4 * log10(257)) < 1e-5 and abs(got[2] + log10(257)) < 1e-5
+
+
 def test_toxicity(spark, docs, empty):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
