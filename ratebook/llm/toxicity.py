@@ -47,10 +47,14 @@ READINGS = {
 }
 _SIGNS = "".join(map(re.escape, READINGS))
 _BREAKS = r".\-_*~'`·"
-# Letters between signs, or long runs of a letter, or single letters between breaks.
+# Signs that stand for a letter at the end of a word too; others are punctuation there.
+_LAST = "0123456789$@("
+_ENDS = "".join(re.escape(sign) for sign in READINGS if sign != "!")
+# Signs among letters or after them, or single letters between breaks; a last "!" is left out.
 _SUSPICIOUS = re.compile(
     rf"(?<![A-Za-z{_SIGNS}])(?:"
-    rf"(?:[A-Za-z]+[{_SIGNS}]+[A-Za-z]|[{_SIGNS}]{{1,3}}[A-Za-z]+[{_SIGNS}]*[A-Za-z])[A-Za-z{_SIGNS}]*"
+    rf"(?:[A-Za-z]+(?:[{_SIGNS}]+[A-Za-z]|[{_SIGNS}]*[{_LAST}])"
+    rf"|[{_SIGNS}]{{1,3}}[A-Za-z]+[{_SIGNS}]*[A-Za-z{_LAST}])(?:[A-Za-z{_SIGNS}]*[A-Za-z{_ENDS}])?"
     rf"|[A-Za-z{_SIGNS}](?:[ {_BREAKS}][A-Za-z{_SIGNS}](?![A-Za-z{_SIGNS}])){{2,}}"
     rf"|[A-Za-z]{{1,8}}(?:[{_BREAKS}][A-Za-z{_SIGNS}]{{1,8}}){{2,}}"
     r")"
@@ -177,19 +181,34 @@ _IS_SIGN[[b for sign in READINGS for b in sign.encode()[-1:]]] = True
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[[ord(b) for b in " .-_*~'`"] + ["·".encode()[-1]]] = True
 _IS_ASCII_LETTER = (_CODE > 0) & (_CODE < _OTHER)
+_IS_ASCII_SIGN = _IS_SIGN.copy()
+_IS_ASCII_SIGN[0x80:] = False
+# Bytes of a sign or letter by its first, and of a break by its last.
+_BYTES = np.ones(256, np.int64)
+_BYTES[["£".encode()[0], "€".encode()[0]]] = 2, 3
+_BREAK_BYTES = np.ones(256, np.int64)
+_BREAK_BYTES["·".encode()[-1]] = 2
+# Most bytes from the last of a break to the last of the next with up to eight signs between.
+_APART = 8 * 3 + 2
 
 
 def suspicious_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Positions, in lower-cased bytes, without which no token of a line is suspicious."""
+    """Positions, in lower-cased bytes, one at least in every line that has a suspicious token."""
     letter = _IS_ASCII_LETTER[data]
+    sign = _IS_ASCII_SIGN[data]
+    for long in (s.encode() for s in READINGS if len(s.encode()) > 1):
+        sign[:-1] |= (data[:-1] == long[0]) & (data[1:] == long[1])
     beside = np.flatnonzero(_IS_SIGN[data[:-1]] & letter[1:])
+    # a sign after a letter, but an exclamation mark only if one more sign follows
+    ended = np.flatnonzero(letter[:-1] & sign[1:] & (data[1:] != ord("!")))
+    marked = np.flatnonzero(letter[:-2] & (data[1:-1] == ord("!")) & sign[2:])
     thrice = np.flatnonzero((data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & letter[2:])
-    # breaks before a letter, twice in a row with at most 3 bytes between them
-    joint = np.flatnonzero(_IS_BREAK[data[:-1]] & letter[1:])
-    single = joint[:-1][np.diff(joint) <= 2]
+    # breaks before a letter or sign, twice in a row with one of these between, or more if tight
+    joint = np.flatnonzero(_IS_BREAK[data[:-1]] & (letter | sign)[1:])
+    single = joint[:-1][np.diff(joint) <= _BYTES[data[joint[:-1] + 1]] + _BREAK_BYTES[data[joint[1:]]]]
     tight = joint[data[joint] != 32]
-    tight = tight[:-1][np.diff(tight) <= 24]
-    return np.unique(np.concatenate([beside, thrice, single, tight]))
+    tight = tight[:-1][np.diff(tight) <= _APART]
+    return np.unique(np.concatenate([beside, ended, marked, thrice, single, tight]))
 
 
 def restored_slices(column, channel: Channel) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -371,6 +372,36 @@ def test_deobfuscation(spark):
         assert channel.restore(f"such {written} things") == f"such {meant} things"
 
 
+def test_deobfuscation_at_the_end_of_a_word(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text")
+    channel = toxicity.Channel(toxicity.count_trigrams(texts))
+    words = {"idio7": "idiot", "1d107": "idiot", "b@stard5": "bastards", "idi0t$": "idiots", "1d10t!": "idiot!"}
+    for written, meant in {**words, "m 0 r 0 n": "moron", "hello!": "hello!"}.items():
+        assert channel.restore(written) == meant
+        got = [d.tobytes() for *_, d, _ in toxicity.restored_slices(pa.array([f"such {written}."]), channel)]
+        assert got == [f"such {meant}.".encode()]
+
+
+def test_prefilter_loses_no_token():
+    channel = toxicity.Channel(np.random.default_rng(5).integers(0, 9, 28**3))
+    rng = np.random.default_rng(6)
+    signs = [*toxicity.READINGS, *"aabbclostAZ"]
+    lines = ["m 0 r 0 n", "you l 0 s 3 r.", "1 d 1 0 t", "idio7", "a!$", "x·€·£", "€ £ € b", "s€.£££££$.t"]
+    for breaks in ("", " ", "·", "-", ". ", "! ·-"):
+        for _ in range(4000):
+            word = "".join(
+                str(rng.choice(signs)) * int(rng.choice([1, 1, 1, 3]))
+                + (str(rng.choice([*breaks])) if breaks and rng.random() < 0.8 else "")
+                for _ in range(rng.integers(1, 9))
+            )
+            lines.append(str(rng.choice(["", "such “", "é "])) + word + str(rng.choice(["", ".", "!", "’ s"])))
+    for own in (lines, ["\n".join(lines)]):
+        column = pa.array(own)
+        got = b"".join(d.tobytes() for *_, d, _ in toxicity.restored_slices(column, channel))
+        plain = "".join("\n".join(channel.restore(x) for x in t.split("\n")) for t in own)
+        assert got == plain.encode().translate(LOWER)
+
+
 def test_pipeline(spark):
     before = spark.read.parquet(f"{FOLDER}/documents.parquet")
     packed = corpus_pipeline.run(spark, FOLDER)
