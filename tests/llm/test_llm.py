@@ -177,6 +177,13 @@ def test_quality(spark, docs, texts, empty):
     assert quality_rules.quality(docs, labels.limit(0)).where("kept = base_failed").count() == 0
 
 
+def test_quality_scores_do_not_depend_on_the_sample(spark, docs):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    whole, few = (quality_rules.quality(docs, labels, sample=n) for n in (20_000, 10))
+    assert labels.where("quality = 1").count() > 10
+    assert found(few, "doc_id", "score") == found(whole, "doc_id", "score")
+
+
 def test_substring_dedup(docs, texts, empty):
     words = [(i, WORD.findall(t.encode())) for i, t in texts]
     seen = windows_seen([w for _, w in words], 35)
