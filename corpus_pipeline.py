@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ratebook.llm import decontamination, ngram_join, packing, suffix_dedup, toxicity
 from ratebook.llm.queries import VOCABULARY, fold, table
 from ratebook.llm.rows import row_key
-from ratebook.operators.storage import new_folder
+from ratebook.operators.storage import new_folder, stored
 
 # Byte strings cut out of a text may leave parts of a character; no SQL writes these stages.
 ORACLE_SQL = None
@@ -30,11 +30,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the least doc_id stays, once; null ids yield to others."""
-    found = ngram_join.jaccard_components(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keys = first.select(F.col("key").alias(_KEY)).distinct()
-    return _keyed(docs).join(keys, _KEY).dropDuplicates([_KEY]).select(docs.columns)
+    """Of linked documents the one with the least doc_id stays, once; null ids yield to others.
+
+    Of equal ids the least key decides. Rows without words link with nothing and all stay.
+    """
+    found = stored(
+        ngram_join.jaccard_components(docs).select("doc_id", "key", "component"), "linked"
+    )
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    linked = found.where("component is not null")
+    first = linked.groupBy("component").agg(least.alias("least")).select(F.col("least.key").alias(_KEY))
+    alone = found.where("component is null").select(F.col("key").alias(_KEY)).distinct()
+    kept = _keyed(docs).join(first, _KEY).dropDuplicates([_KEY])
+    return kept.unionByName(_keyed(docs).join(alone, _KEY, "left_semi")).select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

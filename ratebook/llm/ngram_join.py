@@ -293,7 +293,7 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, set and key of every row.
+    """doc_id, n_shingles, component_id, set, key and component of every row.
 
     Rows link when 100 times the common shingles are at least 80 times all shingles of both; a
     component is named by its least doc_id. A text of fewer than five words is one shingle; null
@@ -301,7 +301,8 @@ def jaccard_components(
     component. Rows with equal sets always link, repeated rows too. A null id stays and is never
     the least, unless all ids of a component are null. Other columns are left out; an empty table
     gives none. Sets are compared by 64-bit hashes of their shingles. `set` numbers equal sets,
-    `key` stands for doc_id and text.
+    `key` stands for doc_id and text, `component` numbers components, null where a row has no
+    shingles.
     """
     spark = docs.sparkSession
     parts = partitions(spark)
@@ -445,4 +446,5 @@ def jaccard_components(
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "set",
         "key",
+        "component",
     )

@@ -67,7 +67,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.jaccard_components(table(spark, folder, "documents")).drop("set", "key")
+    return ngram_join.jaccard_components(table(spark, folder, "documents")).drop("set", "key", "component")
 
 
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

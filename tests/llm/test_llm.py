@@ -409,6 +409,18 @@ def test_prefilter_loses_no_token():
         assert got == plain.encode().translate(LOWER)
 
 
+def test_one_row_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(40)]
+    near, other = " ".join(words), " ".join([*words[:-1], "end"])
+    rows = [(None, near), (None, other), (5, " ".join(f"x{i}" for i in range(40)))]
+    rows += [(7, near.upper().replace("W", "v")), (7, other.upper().replace("W", "v"))]
+    rows += [(8, " "), (8, " "), (None, None), (None, None)]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    stay = corpus_pipeline.one_of_each_group(spark, given, FOLDER).collect()
+    assert Counter(r["doc_id"] for r in stay) == {None: 3, 5: 1, 7: 1, 8: 2}
+    assert sum(r["text"] in (near, other) for r in stay) == 1
+
+
 def test_pipeline(spark):
     before = spark.read.parquet(f"{FOLDER}/documents.parquet")
     packed = corpus_pipeline.run(spark, FOLDER)
