@@ -107,13 +107,14 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 
 def split_words(
-    data: np.ndarray, offsets: np.ndarray
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words [^\\x20\\x09-\\x0D]+, and per text the index of its first word.
+    """Starts and ends of the words, and per text the index of its first word.
 
-    The last array has one more entry, the number of words.
+    `separator`: which bytes are between words, by default [\\x20\\x09-\\x0D]. The last array has one
+    more entry, the number of words.
     """
-    inside = ~_SEPARATOR[data]
+    inside = ~separator[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     borders = offsets[:-1][offsets[:-1] < len(data)]
@@ -126,6 +127,19 @@ def split_words(
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets)
 
 
+def joined_words(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The words with one space after each, and where each begins; the last entry is the end."""
+    lengths = ends - starts
+    firsts = np.append(0, np.cumsum(lengths + 1))
+    flat = np.full(int(firsts[-1]), 0x20, np.uint8)
+    begins = np.cumsum(lengths) - lengths
+    at = np.arange(int(lengths.sum()))
+    flat[at + np.repeat(firsts[:-1] - begins, lengths)] = data[at + np.repeat(starts - begins, lengths)]
+    return flat, firsts
+
+
 def owners_of(bounds: np.ndarray) -> np.ndarray:
     """The text index of each item, from the bounds of the texts."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))

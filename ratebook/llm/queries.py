@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, ngram_join, packing, ppm, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from . import chat, decontamination, importance, ngram_join, packing, ppm, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -74,8 +74,15 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.score(table(spark, folder, "documents"), fold(7) == 2)
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.resample(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return found.drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_ngram_jaccard_join, op10_lm_scoring)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_ngram_jaccard_join, op10_lm_scoring, op11_importance_resampling)
 }
 
 _DECONTAMINATION = r"""
@@ -111,4 +118,75 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op6_decontamination": _DECONTAMINATION}
+# A CRC is a sum without carry of what each byte becomes by the bytes behind it: `k` tables that by
+# distance from the end, `z` what the start value becomes.
+_IMPORTANCE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+fd AS (
+  SELECT doc_id, unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]
+    || [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) AS f FROM d),
+fb AS (
+  SELECT unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]
+    || [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) AS f FROM b),
+f AS (
+  SELECT f, hex(encode(f)) AS x, length(x) // 2 AS n
+  FROM (SELECT f FROM fd UNION SELECT f FROM fb)),
+steps(b, s, i) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT b, CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END, i + 1
+  FROM steps WHERE i < 8),
+t AS MATERIALIZED (SELECT b, s FROM steps WHERE i = 8),
+k(v, d, s) AS (
+  SELECT printf('%02X', b), 0, s FROM t
+  UNION ALL
+  SELECT v, d + 1, xor(t.s, k.s >> 8) FROM k JOIN t ON t.b = k.s & 255
+  WHERE d < (SELECT max(n) FROM f)),
+z(n, s) AS (
+  SELECT 0, 4294967295
+  UNION ALL
+  SELECT n + 1, xor(t.s, z.s >> 8) FROM z JOIN t ON t.b = z.s & 255
+  WHERE n < (SELECT max(n) FROM f)),
+bytes AS (
+  SELECT f, n, substr(x, CAST(2 * i - 1 AS BIGINT), 2) AS v, n - i AS d
+  FROM (SELECT f, x, n, unnest(range(1, n + 1)) AS i FROM f)),
+h AS (
+  SELECT f, xor(xor(bit_xor(k.s), any_value(z.s)), 4294967295) % 10000 AS bucket
+  FROM bytes JOIN k USING (v, d) JOIN z USING (n) GROUP BY f),
+sums AS (SELECT bucket, count(*) AS s FROM fd JOIN h USING (f) GROUP BY bucket),
+aims AS (SELECT bucket, count(*) AS t FROM fb JOIN h USING (f) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE
+    * ((SELECT count(*) FROM fd) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT count(*) FROM fb) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM sums LEFT JOIN aims USING (bucket)),
+w AS (
+  SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM fd JOIN h USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+u AS (
+  SELECT doc_id, len(w) AS n_words, CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM d),
+r AS (
+  SELECT doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0)
+      + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM u LEFT JOIN w USING (doc_id)),
+o AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
+  FROM r WHERE n_words >= 20)
+SELECT r.doc_id, n_features, weight, score, o.rank
+FROM r LEFT JOIN o
+  ON r.doc_id = o.doc_id AND o.rank <= (SELECT 5 * count(*) // 100 FROM r WHERE n_words >= 20)
+"""
+
+ORACLE: dict[str, str] = {
+    "op6_decontamination": _DECONTAMINATION,
+    "op11_importance_resampling": _IMPORTANCE,
+}
