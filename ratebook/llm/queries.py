@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, importance, ngram_join, packing, ppm, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from . import chat, collocations, decontamination, importance, ngram_join, packing, ppm, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -81,8 +81,16 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("n_words")
 
 
+def op12_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_ngram_jaccard_join, op10_lm_scoring, op11_importance_resampling)
+    f.__name__: f for f in (op1_packing, op2_chat_formatting, op3_quality_rules, op4_token_counts, op5_substring_dedup, op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_ngram_jaccard_join, op10_lm_scoring, op11_importance_resampling, op12_simhash_dedup, op13_collocations)
 }
 
 _DECONTAMINATION = r"""
@@ -186,7 +194,45 @@ FROM r LEFT JOIN o
   ON r.doc_id = o.doc_id AND o.rank <= (SELECT 5 * count(*) // 100 FROM r WHERE n_words >= 20)
 """
 
+_COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+c AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS a FROM (
+    SELECT lang, size, unnest([array_to_string(w[i : i + size - 1], ' ')
+      FOR i IN range(1, len(w) - size + 2)]) AS phrase
+    FROM w, (VALUES (1), (2), (3)) AS sizes(size))
+  GROUP BY lang, size, phrase),
+k AS (SELECT *, string_split(phrase, ' ') AS w FROM c WHERE size > 1 AND a >= 10),
+cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(w[: k], ' ') AS f1,
+    array_to_string(w[k + 1 :], ' ') AS f2
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM k)),
+s AS (
+  SELECT cuts.*, l.a AS l, r.a AS r,
+    CAST(1000000::HUGEINT * cuts.a * cuts.a // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM cuts JOIN c l ON l.lang = cuts.lang AND l.phrase = f1
+    JOIN c r ON r.lang = cuts.lang AND r.phrase = f2),
+best AS (
+  SELECT * FROM s
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+    FROM k WHERE size = 3) GROUP BY lang, phrase),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang)
+SELECT lang, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN inner_ USING (lang, phrase) JOIN n USING (lang)
+WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op6_decontamination": _DECONTAMINATION,
     "op11_importance_resampling": _IMPORTANCE,
+    "op13_collocations": _COLLOCATIONS,
 }

@@ -113,3 +113,21 @@ def group_batches(
         return pa.Table.from_batches(made, schema=fields)
 
     return df.groupBy(key).applyInArrow(run, schema)
+
+
+def cogroup_batches(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    job: Callable[[pa.Table, pa.Table], Iterator[dict]],
+    schema: str,
+) -> DataFrame:
+    """applyInArrow on both sides' rows of a key, for a job that yields columns as a dict."""
+    fields = arrow_schema(schema)
+    ship_package(left.sparkSession)
+
+    def run(one: pa.Table, two: pa.Table) -> pa.Table:
+        made = [record_batch(columns, fields) for columns in job(one, two)]
+        return pa.Table.from_batches(made, schema=fields)
+
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(run, schema)
