@@ -8,8 +8,6 @@ PAYER_TYPES = ("COMMERCIAL", "GOVERNMENT", "HMO", "PPO", "EPO")
 RATE_TYPES = ("PER_DIEM", "PERCENTAGE", "FLAT_FEE", "FEE_SCHEDULE", "CASE_RATE")
 AMENDMENT_TYPES = ("MODIFICATION", "RATE_CHANGE", "TERMINATION", "EXTENSION", "ADDENDUM")
 AS_OF = "DATE '1999-01-01'"
-FIRST_DAY = "DATE '1994-01-01'"
-LAST_DAY = "DATE '2006-12-31'"
 
 # Named relations; each may use the ones before it.
 RELATIONS = {
@@ -188,9 +186,11 @@ RELATIONS = {
               count(DISTINCT provider_npi) AS providers_offering,
               min(rate_amount) AS min_rate, max(rate_amount) AS max_rate, {avg} AS avg_rate
             FROM rate GROUP BY cpt_code) s ON s.cpt_code = c.cpt_code""",
-    "d_date": f"""
+    "d_date": """
       SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date
-      FROM generate_series({FIRST_DAY}, {LAST_DAY}, INTERVAL 1 DAY) t(d)""",
+      FROM (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS d FROM (
+        SELECT effective_date AS d FROM con UNION ALL SELECT termination_date FROM con
+        UNION ALL SELECT rate_effective_date FROM rate))""",
     "fact": """
       SELECT md5(r.rate_schedule_id || '-' || c.contract_key) AS rate_key, c.contract_key,
         p.provider_key, y.payer_key, s.service_key,

@@ -12,8 +12,7 @@ from ..operators.storage import stored, stored_all
 from . import intermediate, marts, staging
 from .checks import all_checks
 
-# First and last day of the date dimension unless the caller gives
-# others.
+# First and last day of the date dimension of data without any date.
 FIRST_DAY = date(2020, 1, 1)
 LAST_DAY = date(2030, 12, 30)
 
@@ -99,6 +98,21 @@ def stage(
     )
 
 
+def covered_days(staged: Staged) -> tuple[date, date]:
+    """First and last day of any date of the contracts and of their rates, so each finds its key.
+
+    One job per table that reads the date columns only and brings one row to the driver.
+    """
+    found = []
+    for table, names in (
+        (staged.contracts, ("effective_date", "termination_date")),
+        (staged.rates, ("rate_effective_date",)),
+    ):
+        ends = [f(F.col(c)) for c in names for f in (F.min, F.max)]
+        found += [d for d in table.agg(*ends).first() if d is not None]
+    return (min(found), max(found)) if found else (FIRST_DAY, LAST_DAY)
+
+
 def normalized_rates(
     staged: Staged,
     enriched: DataFrame | None,
@@ -135,11 +149,14 @@ def build(
     as_of: date | None = None,
     ref_payers: DataFrame | None = None,
     ref_categories: DataFrame | None = None,
-    first_day: date = FIRST_DAY,
-    last_day: date = LAST_DAY,
+    days: tuple[date, date] | None = None,
 ) -> dict[str, DataFrame]:
-    """Intermediate and mart tables by name; dimensions are stored, the fact is lazy."""
+    """Intermediate and mart tables by name; dimensions are stored, the fact is lazy.
+
+    `days`: first and last day of the date dimension, by default those that the data cover.
+    """
     spark = staged.contracts.sparkSession
+    first_day, last_day = days or covered_days(staged)
     first = stored_all(
         {
             "int_contracts_enriched": intermediate.int_contracts_enriched(

@@ -17,8 +17,6 @@ from .sources import tables as layered
 from .streaming import events, ingest
 
 AS_OF = date(1999, 1, 1)
-FIRST_DAY = date(1994, 1, 1)
-LAST_DAY = date(2006, 12, 31)
 EXTRACTED_AT = datetime(2024, 1, 15, 10, 30)
 FIRST_LOAD = datetime(2024, 1, 1)
 SECOND_LOAD = datetime(2024, 2, 1)
@@ -234,7 +232,9 @@ def fact_contracted_rates(spark: SparkSession, folder: str) -> DataFrame:
         "dim_payer": marts.dim_payer(staged.contracts).select("payer_key", "payer_id"),
         "dim_provider": marts.dim_provider(staged.contracts).select("provider_key", "provider_npi"),
         "dim_service": marts.dim_service(staged.rates).select("service_key", "cpt_code"),
-        "dim_date": marts.dim_date(spark, FIRST_DAY, LAST_DAY).select("date_key", "full_date"),
+        "dim_date": marts.dim_date(spark, *build.covered_days(staged)).select(
+            "date_key", "full_date"
+        ),
     }
     if not staged.unique_contracts:
         enriched = stored(
@@ -252,8 +252,7 @@ def fact_contracted_rates(spark: SparkSession, folder: str) -> DataFrame:
 def _fact_of_documents(documents: DataFrame, latest_load: bool = False) -> DataFrame:
     raw = contract_files.with_load_time(documents)
     staged = build.stage(raw, latest_load=latest_load)
-    tables = build.build(staged, AS_OF, first_day=FIRST_DAY, last_day=LAST_DAY)
-    return _plain(tables["fact_contracted_rates"])
+    return _plain(build.build(staged, AS_OF)["fact_contracted_rates"])
 
 
 def fact_of_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,9 +271,7 @@ def fact_of_latest_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
-    tables = build.build(
-        _staged(spark, folder, amendments=True), AS_OF, first_day=FIRST_DAY, last_day=LAST_DAY
-    )
+    tables = build.build(_staged(spark, folder, amendments=True), AS_OF)
     return build.quality_report(
         tables, _ref_payers(spark, folder), _ref_categories(spark, folder)
     )
