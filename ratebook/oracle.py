@@ -591,6 +591,35 @@ _ROUTED = """
     FROM pages)"""
 
 
+# Documents that messages named: of whole messages, in the right bucket, there and with text.
+_NAMED = f"""
+  SELECT * REPLACE (replace(text, 'Contract Notice', 'Notice') AS text), k // 3 AS number,
+    CASE WHEN k // 3 % 17 = 0 THEN 'malformed' WHEN k % 10 = 7 THEN 'foreign_bucket'
+         WHEN k % 11 = 3 THEN 'not_pdf' WHEN k % 13 = 5 THEN 'no_document'
+         WHEN k % 31 = 6 THEN 'no_text' END AS problem
+  FROM ({TEXTS})"""
+
+
+def _landed(select: str) -> str:
+    """The records of the documents that messages named, with the relations after them."""
+    records = _fields(f"SELECT * FROM ({_NAMED}) WHERE problem IS NULL", TEXT_RATES, _AMENDED)
+    return with_relations(
+        select,
+        raw=f"""SELECT CAST(regexp_extract(source_file, '[0-9]+') AS BIGINT) AS k, contract_id,
+            payer_name, payer_id, provider_npi, provider_name, effective_date, termination_date,
+            '2024-01-15T10:30:00.000000Z' AS extracted_at, confidence_score, source_file,
+            CAST(NULL AS TIMESTAMP) AS loaded_at FROM ({records})""",
+        rate_line=f"""
+      SELECT con.contract_id, con.payer_id, con.provider_npi, con.effective_date AS c_start,
+        con.termination_date AS c_end, service_category AS cat, cpt_code AS cpt,
+        CAST(NULL AS VARCHAR) AS descr, rate_type AS rtype,
+        CAST(rate_amount AS DECIMAL(12,2)) AS amt, CAST(NULL AS VARCHAR) AS day_text,
+        CAST(NULL AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS modi
+      FROM con JOIN (WITH texts AS ({TEXTS}) {TEXT_RATES}) USING (source_file)""",
+        amendment_line=RELATIONS["amendment_line"] + " WHERE false",
+    )
+
+
 def _validation() -> str:
     """Problems per record, in field order."""
     return _records(
@@ -723,4 +752,17 @@ ORACLE: dict[str, str] = {
         outcome, count(*) AS messages FROM ({_ROUTED})
       WHERE outcome IN ('accepted', 'no_key', 'malformed') GROUP BY ALL""",
     "stream_documents": _fields(TEXTS, TEXT_RATES, _AMENDED),
+    "documents_to_fact": _landed("SELECT * FROM fact"),
+    "landed_objects": _landed(
+        """SELECT 'payer=' || coalesce(payer_id, 'unknown') AS payer,
+          'contract_date=' || coalesce(effective_date, CAST(current_date AS VARCHAR)) AS day,
+          k || '.json' AS name FROM raw"""
+    ),
+    "rejected_deliveries": f"""
+      SELECT CASE k % 13 = 5 WHEN true THEN 'missing/' ELSE 'incoming/' END || k || '.pdf' AS message,
+        problem, CAST(3 AS BIGINT) AS attempts
+      FROM ({_NAMED}) WHERE problem IN ('no_document', 'no_text')
+      UNION ALL
+      SELECT DISTINCT 'broken ' || number || ' {{"Records":[{{"s3":{{"', 'malformed', 3
+      FROM ({_NAMED}) WHERE problem = 'malformed'""",
 }

@@ -14,7 +14,7 @@ from .plans.validation import validate
 from .sources import contracts as contract_files
 from .sources import seeds, testdata
 from .sources import tables as layered
-from .streaming import events, ingest
+from .streaming import events, ingest, landing
 
 AS_OF = date(1999, 1, 1)
 EXTRACTED_AT = datetime(2024, 1, 15, 10, 30)
@@ -503,6 +503,63 @@ def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _fields(spark.read.parquet(out))
 
 
+def _landed(spark: SparkSession, folder: str) -> landing.Zone:
+    """All messages and most documents; then the late documents, and every fifth message again.
+
+    A third round finds what is still missing, a fourth nothing new. Done once per session.
+    """
+    known = (spark.sparkContext.applicationId, folder)
+    if known in _zones:
+        return _zones[known]
+    zone = landing.Zone.below(new_folder(spark, "landing"))
+    store = new_folder(spark, "documents")
+    documents = stored(testdata.document_store(spark, folder), "document_texts")
+    messages = stored(testdata.document_messages(spark, folder), "document_messages")
+    at = F.lit(EXTRACTED_AT).cast("timestamp")
+    rounds = (
+        ("NOT late", "true"),
+        ("late", "number % 5 = 0"),
+        (None, None),
+        (None, "number % 7 = 0"),
+    )
+    for arrived, sent in rounds:
+        if arrived:
+            ingest.write_documents(documents.where(arrived).drop("late"), store)
+        if sent:
+            messages.where(sent).select("body").write.mode("append").text(zone.inbox)
+        landing.land(spark, zone, spark.read.parquet(store), BUCKET, at, FILES_PER_BATCH)
+    _zones[known] = zone
+    return zone
+
+
+_zones: dict[tuple[str, str], landing.Zone] = {}
+
+
+def documents_to_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages to documents, records, JSON objects, the raw table and the fact."""
+    raw = contract_files.read_raw(spark, _landed(spark, folder).raw)
+    return _plain(build.build(build.stage(raw), AS_OF)["fact_contracted_rates"])
+
+
+def landed_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """Folders and names of the JSON objects, listed without reading them."""
+    found = contract_files.list_objects(spark, _landed(spark, folder).contracts, ".json")
+    parts = F.split("path", "/")
+    return found.select(
+        *[F.element_at(parts, -3 + i).alias(c) for i, c in enumerate(("payer", "day", "name"))]
+    )
+
+
+def rejected_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """What was set aside after three attempts, and how many messages each took."""
+    rejects = spark.read.parquet(_landed(spark, folder).rejects)
+    return rejects.select(
+        F.coalesce("object_key", "body").alias("message"),
+        "problem",
+        F.col("attempts").cast("bigint").alias("attempts"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -546,5 +603,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         route_messages,
         stream_messages,
         stream_documents,
+        documents_to_fact,
+        landed_objects,
+        rejected_deliveries,
     )
 }

@@ -292,3 +292,45 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
                  WHEN page_id % 3 = 0 THEN to_json(named_struct('Message', {body}))
                  ELSE {body} END AS body"""
     )
+
+
+def document_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of `contract_texts`, some without text; `late` ones arrive after the others.
+
+    Words that many texts have where others have a number would be one contract id of them all.
+    """
+    text = F.replace("text", F.lit("Contract Notice"), F.lit("Notice"))
+    number = F.regexp_extract("source_file", r"\d+", 0).cast("bigint")
+    return contract_texts(spark, folder).select(
+        "source_file",
+        F.when(number % 31 != 6, text).alias("text"),
+        "tables",
+        (number % 29 == 4).alias("late"),
+    )
+
+
+def document_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages about the documents, up to three each; number of the message and its `body`.
+
+    Some name objects of another bucket, of another kind or that nobody sent; some are wrapped,
+    some broken.
+    """
+    key = """concat(CASE WHEN k % 13 = 5 THEN 'missing' ELSE 'incoming' END, '%2F', k,
+                    CASE WHEN k % 11 = 3 THEN '.txt' ELSE '.pdf' END)"""
+    record = f"""named_struct('s3', named_struct(
+      'bucket', named_struct('name', CASE WHEN k % 10 = 7 THEN 'other' ELSE 'raw' END),
+      'object', named_struct('key', {key})))"""
+    records = (
+        table(spark, folder, "orders")
+        .withColumn("k", F.col("o_orderkey"))
+        .selectExpr("k DIV 3 AS number", "k", f"{record} AS record")
+        .groupBy("number")
+        .agg(F.array_sort(F.collect_list(F.struct("k", "record"))).alias("found"))
+    )
+    event = "to_json(named_struct('Records', found.record))"
+    return records.selectExpr(
+        "number",
+        f"""CASE WHEN number % 17 = 0 THEN concat('broken ', number, ' ', left({event}, 20))
+                 WHEN number % 4 = 0 THEN to_json(named_struct('Message', {event}))
+                 ELSE {event} END AS body""",
+    )
