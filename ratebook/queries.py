@@ -524,7 +524,7 @@ def _landed(spark: SparkSession, folder: str) -> landing.Zone:
     )
     for arrived, sent in rounds:
         if arrived:
-            ingest.write_documents(documents.where(arrived).drop("late"), store)
+            ingest.write_documents(documents.where(arrived).drop("late"), store, 16)
         if sent:
             messages.where(sent).select("body").write.mode("append").text(zone.inbox)
         landing.land(spark, zone, spark.read.parquet(store), BUCKET, at, FILES_PER_BATCH)
