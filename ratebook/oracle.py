@@ -752,6 +752,23 @@ ORACLE: dict[str, str] = {
         outcome, count(*) AS messages FROM ({_ROUTED})
       WHERE outcome IN ('accepted', 'no_key', 'malformed') GROUP BY ALL""",
     "stream_documents": _fields(TEXTS, TEXT_RATES, _AMENDED),
+    "split_tables": f"WITH texts AS ({TEXTS}) {TEXT_RATES}",
+    "contracts_of_payers": _records(
+        """SELECT contract_id, coalesce(payer_id, 'unknown') AS payer,
+          effective_date AS contract_date
+        FROM raw WHERE coalesce(payer_id, 'unknown') IN ('pay3', 'unknown')
+          AND effective_date < '1998-01-01'"""
+    ),
+    "pdf_bytes": """
+      SELECT page_id || CASE page_id % 3 WHEN 0 THEN '.PDF' ELSE '.pdf' END AS name,
+        CAST(strlen(coalesce(html, '')) AS BIGINT) AS bytes, sha256(coalesce(html, '')) AS sha256,
+        CAST(strlen(coalesce(html, '')) AS BIGINT) AS streamed_bytes, true AS listed
+      FROM pages WHERE page_id % 3 < 2""",
+    "rejected_documents": f"""
+      SELECT CASE WHEN k % 29 <> 4 THEN source_file END AS source_file,
+        CASE WHEN k % 29 = 4 THEN left('{{"source_file":"' || source_file || '",', 25) END AS line,
+        'txt' AS kind
+      FROM ({TEXTS}) WHERE k % 29 = 4 OR k % 31 = 6""",
     "documents_to_fact": _landed("SELECT * FROM fact"),
     "landed_objects": _landed(
         """SELECT 'payer=' || coalesce(payer_id, 'unknown') AS payer,

@@ -12,7 +12,7 @@ from .plans import build, extraction, intermediate, marts, staging
 from .plans.history import contract_history
 from .plans.validation import validate
 from .sources import contracts as contract_files
-from .sources import seeds, testdata
+from .sources import objects, seeds, testdata
 from .sources import tables as layered
 from .streaming import events, ingest, landing
 
@@ -465,6 +465,50 @@ def extract_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _fields(_extracted(documents))
 
 
+def split_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rate rows of tables that come as grids of cells."""
+    grid = F.transform("tables", lambda t: F.concat(F.array(t["headers"]), t["rows"]))
+    texts = testdata.contract_texts(spark, folder).withColumn("grids", grid)
+    tables = F.transform("grids", extraction.split_table)
+    rates = texts.select("source_file", F.inline(extraction.rate_schedules(tables)))
+    return rates.select("source_file", "service_category", "cpt_code", "rate_type", "rate_amount")
+
+
+# --- objects -----------------------------------------------------------------
+
+
+def contracts_of_payers(spark: SparkSession, folder: str) -> DataFrame:
+    """Only the folders of two payers are read."""
+    path = new_folder(spark, "contracts")
+    contract_files.write_contracts(testdata.contract_documents(spark, folder), path)
+    read = contract_files.read_contracts(spark, path, multi_line=False, folders=True)
+    return read.where("payer IN ('pay3', 'unknown') AND contract_date < '1998-01-01'").select(
+        "contract_id", "payer", "contract_date"
+    )
+
+
+def pdf_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """PDF files read as a table, and by a stream whose files one listing finds."""
+    path, out, checkpoint = (new_folder(spark, n) for n in ("objects", "sizes", "checkpoint"))
+    objects.write_objects(testdata.page_objects(spark, folder), path)
+
+    def write(files: DataFrame, batch_id: int) -> None:
+        files.select("path", "length").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    stream = ingest.pdf_stream(spark, path, FILES_PER_BATCH)
+    ingest.start(stream, write, checkpoint, True).awaitTermination()
+    name = F.element_at(F.split("path", "/"), -1)
+    streamed = spark.read.parquet(out).select("path", F.col("length").alias("streamed_bytes"))
+    listed = contract_files.list_objects(spark, path).select("path", F.lit(True).alias("listed"))
+    return (
+        contract_files.pdf_files(spark, path)
+        .select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+        .join(streamed, "path", "left")
+        .join(listed, "path", "left")
+        .select(name.alias("name"), "bytes", "sha256", "streamed_bytes", "listed")
+    )
+
+
 # --- messages and streams --------------------------------------------------
 
 
@@ -535,6 +579,25 @@ def _landed(spark: SparkSession, folder: str) -> landing.Zone:
 _zones: dict[tuple[str, str], landing.Zone] = {}
 
 
+def rejected_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without text, and lines that cannot be read, with the kind of file they came from."""
+    source, out, rejects, checkpoint = (
+        new_folder(spark, name) for name in ("documents", "records", "rejects", "checkpoint")
+    )
+    documents = testdata.document_store(spark, folder)
+    line = F.to_json(F.struct("source_file", "text", "tables"))
+    broken = F.when(F.col("late"), F.left(line, F.lit(25))).otherwise(line)
+    documents.select(broken.alias("value")).write.text(source)
+    writer = ingest.document_writer(out, rejects, F.lit(EXTRACTED_AT).cast("timestamp"))
+    stream = ingest.document_stream(spark, source, FILES_PER_BATCH)
+    ingest.start(stream, writer, checkpoint, True).awaitTermination()
+    return spark.read.parquet(rejects).select(
+        "source_file",
+        F.col(contract_files.CORRUPT).alias("line"),
+        F.element_at(F.split(ingest.INPUT_FILE, "\\."), -1).alias("kind"),
+    )
+
+
 def documents_to_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Messages to documents, records, JSON objects, the raw table and the fact."""
     raw = contract_files.read_raw(spark, _landed(spark, folder).raw)
@@ -603,6 +666,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         route_messages,
         stream_messages,
         stream_documents,
+        split_tables,
+        contracts_of_payers,
+        pdf_bytes,
+        rejected_documents,
         documents_to_fact,
         landed_objects,
         rejected_deliveries,

@@ -334,3 +334,12 @@ def document_messages(spark: SparkSession, folder: str) -> DataFrame:
                  WHEN number % 4 = 0 THEN to_json(named_struct('Message', {event}))
                  ELSE {event} END AS body""",
     )
+
+
+def page_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as objects of different kinds, name and content; some of them are PDF by name."""
+    return table(spark, folder, "pages").selectExpr(
+        """concat('site=', page_id % 3, '/', page_id,
+                  CASE page_id % 3 WHEN 0 THEN '.PDF' WHEN 1 THEN '.pdf' ELSE '.html' END) AS name""",
+        "cast(coalesce(html, '') AS binary) AS content",
+    )
