@@ -39,8 +39,9 @@ WORD_BYTES = 64
 PAIR_PLACES = 1 << 17
 # Pairs that a slice of a task holds so many times are counted as candidates of the head.
 PAIR_SEEN = 3
-# Distinct words and pairs a task holds while it counts.
+# Distinct words and pairs a task holds while it counts, and steps of frequency for each doubling.
 HELD = 400_000
+_STEPS = 16
 _BETWEEN = np.ones(256, bool)
 _BETWEEN[ord("0") : ord("9") + 1] = False
 _BETWEEN[ord("a") : ord("z") + 1] = False
@@ -144,9 +145,24 @@ def frequent_vocabulary(texts: DataFrame) -> Head:
     made = map_batches(texts, job, "size int, feature binary, times long")
     summed = stored(made.groupBy("size", "feature").agg(F.sum("times").alias("times")), "vocabulary")
 
+    step = F.floor(F.log2("times") * _STEPS).cast("int")
+    steps = {
+        (r["size"], r["step"]): r["count"]
+        for r in summed.groupBy("size", step.alias("step")).count().collect()
+    }
+
     def most(size: int, n: int) -> list[bytes]:
-        top = summed.where(F.col("size") == size).orderBy(F.desc("times"), "feature").limit(n)
-        return [bytes(r["feature"]) for r in top.select("feature").collect()]
+        """Features of the highest steps of frequency of which there are at most n."""
+        left, least = n, None
+        for own, now in sorted(steps, reverse=True):
+            if own == size and (left := left - steps[own, now]) >= 0:
+                least = now
+            elif own == size:
+                break
+        if least is None:
+            return []
+        top = summed.where((F.col("size") == size) & (step >= least)).collect()
+        return [bytes(r["feature"]) for r in sorted(top, key=lambda r: (-r["times"], r["feature"]))]
 
     return make_head(most(1, HEAD_WORDS), most(2, PAIR_PLACES // 2))
 
