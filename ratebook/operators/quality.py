@@ -1,8 +1,10 @@
-"""Declared data tests, run as aggregates.
+"""Declared data tests, run as one aggregate.
 
-Row checks of a table (not null, accepted values, ranges, predicates) share a
-single scan. Key checks count per key first, so only one row per key and task is
-shuffled whatever the skew. Nothing fails the job: the result is a report.
+Each table is read once, whatever is tested in it. A row says, for every key check, which key it
+has, and for every row check (not null, accepted values, ranges, predicates) that it fails it, if
+it does. One aggregate counts these by check and key, combined before the shuffle, so that a task
+sends one row per key whatever the skew; a second one adds up the failures of each check. Nothing
+fails the job: the result is a report.
 """
 
 from collections.abc import Iterable, Mapping
@@ -60,64 +62,61 @@ def _row_predicate(check: Check) -> Column:
     return ~(column > 0)
 
 
-def _labels(check: Check) -> list[Column]:
-    return [
-        F.lit(check.kind).alias("test"),
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-    ]
-
-
-def _row_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = table.agg(*[F.count_if(_row_predicate(c)).alias(f"c{i}") for i, c in enumerate(checks)])
-    lines = F.array(
-        *[
-            F.struct(*_labels(c), F.col(f"c{i}").alias("failures"), F.lit(c.severity).alias("severity"))
-            for i, c in enumerate(checks)
-        ]
+def _entry(check: int, key: Column, counts: bool, applies: Column) -> Column:
+    """What a row says for a check: its key, and whether it counts or only makes the key known."""
+    return F.struct(
+        F.lit(check).alias("check"),
+        key.cast("string").alias("key"),
+        F.lit(int(counts)).cast("bigint").alias("rows"),
+        F.lit(not counts).alias("known"),
+        applies.alias("applies"),
     )
-    return counts.select(F.inline(lines))
 
 
-def _report_line(failing: DataFrame, failures: Column, check: Check) -> DataFrame:
-    return failing.agg(F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures")).select(
-        *_labels(check), "failures", F.lit(check.severity).alias("severity")
-    )
+def _entries(table: str, checks: list[Check]) -> list[Column]:
+    """What each row of a table says for the checks that read it."""
+    found = []
+    for i, check in enumerate(checks):
+        key = F.col(check.column)
+        if check.table == table and check.kind in ("unique", "relationships"):
+            found.append(_entry(i, key, True, key.isNotNull()))
+        elif check.table == table:
+            found.append(_entry(i, F.lit(None), True, _row_predicate(check)))
+        if check.kind == "relationships" and check.parent == table:
+            key = F.col(check.parent_column)
+            found.append(_entry(i, key, False, key.isNotNull()))
+    return found
 
 
-def _unique_check(table: DataFrame, check: Check) -> DataFrame:
-    repeated = (
-        table.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """(test, table_name, column_name, failures, severity); pass stored tables."""
+    checks = list(checks)
+    said = None
+    for name in dict.fromkeys(t for c in checks for t in (c.table, c.parent) if t):
+        entries = F.array(*_entries(name, checks))
+        own = tables[name].select(F.inline(entries)).where("applies").drop("applies")
+        said = own if said is None else said.unionByName(own)
+    counted = said.groupBy("check", "key").agg(
+        F.sum("rows").alias("rows"), F.bool_or("known").alias("known")
     )
-    return _report_line(repeated, F.count(F.lit(1)), check)
 
+    def is_one_of(kind: str) -> Column:
+        return F.col("check").isin(*[i for i, c in enumerate(checks) if c.kind == kind])
 
-def _relationship_check(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    keys = (
-        child.where(F.col(check.column).isNotNull())
-        .groupBy(F.col(check.column).alias("k"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    failures = (
+        F.when(is_one_of("unique"), (F.col("rows") > 1).cast("bigint"))
+        .when(is_one_of("relationships"), F.when(F.col("known"), 0).otherwise(F.col("rows")))
+        .otherwise(F.col("rows"))
+    )
+    failed = counted.groupBy("check").agg(F.sum(failures).alias("failures"))
+    listed = said.sparkSession.createDataFrame(
+        [(i, c.kind, c.table, c.column, c.severity) for i, c in enumerate(checks)],
+        "check int, test string, table_name string, column_name string, severity string",
+    )
+    return listed.join(failed, "check", "left").select(
+        "test",
+        "table_name",
+        "column_name",
+        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
+        "severity",
     )
-    known = parent.select(F.col(check.parent_column).alias("k")).distinct()
-    return _report_line(keys.join(known, "k", "left_anti"), F.sum("n"), check)
-
-
-def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """(test, table_name, column_name, failures, severity); pass stored tables."""
-    by_table: dict[str, list[Check]] = {}
-    reports = []
-    for check in checks:
-        if check.kind == "unique":
-            reports.append(_unique_check(tables[check.table], check))
-        elif check.kind == "relationships":
-            reports.append(_relationship_check(tables[check.table], tables[check.parent], check))
-        else:
-            by_table.setdefault(check.table, []).append(check)
-    reports += [_row_checks(tables[name], group) for name, group in by_table.items()]
-    report = reports[0]
-    for part in reports[1:]:
-        report = report.unionByName(part)
-    return report

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import Hot, hot_table, repeat_rows, slices_for
+from .skew import Hot, hot_rows, hot_table, repeat_rows, slices_for
 from .storage import stored
 
 
@@ -32,7 +32,7 @@ def row_numbers(
         return df.withColumn(out, number)
     marks = hot_table(df, key, hot).select(key)
     slices = slices or max(
-        slices_for(sum(hot.values())),
+        slices_for(hot_rows(hot)),
         int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )
     usual = df.join(marks, key, "left_anti").withColumn(out, number)

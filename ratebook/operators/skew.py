@@ -1,17 +1,18 @@
 """Joins and repetition that do not depend on evenly spread keys."""
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import stored
+
 # Rows of one key that a single task handles without trouble.
 HOT_ROWS = 1_000_000
-# Size bound of the hot-key list; keys past it are the smaller ones.
-HOT_KEYS = 100_000
-# Rows of a narrow dimension that fit every executor.
-BROADCAST_ROWS = 500_000
+# Estimated bytes of a table that fit every executor.
+BROADCAST_BYTES = 32_000_000
 _STEP = 65_536
 _REPEATABLE = (
     T.StringType,
@@ -22,26 +23,42 @@ _REPEATABLE = (
     T.BooleanType,
 )
 
-# Hot keys and their number of rows.
-Hot = Mapping
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with very many rows: a stored table (key, n), its rows, and the rows they have in all."""
+
+    table: DataFrame
+    keys: int
+    rows: int
+
+    def __bool__(self) -> bool:
+        return self.keys > 0
+
+
+# Hot keys and their number of rows; few of them may be given as they are.
+Hot = HotKeys | Mapping
 
 
 def hot_keys(
-    df: DataFrame,
-    key: str,
-    weight: Column | None = None,
-    min_rows: int = HOT_ROWS,
-    max_keys: int = HOT_KEYS,
-) -> dict:
-    """Keys with more than `min_rows` rows and their row counts, at most `max_keys` of them.
-
-    One job that reads the key column only and combines before the shuffle.
-    A key that is not listed is still handled, by the ordinary plan.
+    df: DataFrame, key: str, weight: Column | None = None, min_rows: int = HOT_ROWS
+) -> HotKeys:
+    """All keys with more than `min_rows` rows, and their row counts.
+
+    Reads the key column only and combines before the shuffle. The keys are stored and joined like
+    any other table, so there is no bound on how many there may be.
     """
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(rows.cast("bigint").alias("n"))
-    heavy = counts.where(F.col("n") > min_rows).orderBy(F.desc("n")).limit(max_keys)
-    return dict(map(tuple, heavy.select(key, "n").collect()))
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key"))
+    heavy = counts.agg(rows.cast("bigint").alias("n")).where(F.col("n") > min_rows)
+    table = stored(heavy, "hot_keys")
+    keys, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return HotKeys(table, keys, total)
+
+
+def hot_rows(hot: Hot) -> int:
+    """Rows of all hot keys."""
+    return hot.rows if isinstance(hot, HotKeys) else sum(hot.values())
 
 
 def slices_for(rows: int, per_slice: int = HOT_ROWS) -> int:
@@ -50,16 +67,24 @@ def slices_for(rows: int, per_slice: int = HOT_ROWS) -> int:
 
 
 def hot_table(df: DataFrame, key: str, hot: Hot, per_slice: int = HOT_ROWS) -> DataFrame:
-    """The hot keys and their number of salts, to broadcast; `hot_keys` bounds its size."""
-    schema = T.StructType(
-        [T.StructField(key, df.schema[key].dataType), T.StructField("_salts", T.IntegerType())]
-    )
-    rows = [(k, slices_for(n, per_slice)) for k, n in hot.items()]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    """The hot keys and their number of salts; of a stored table Spark broadcasts them if they are few."""
+    kind = df.schema[key].dataType
+    if isinstance(hot, HotKeys):
+        table = hot.table
+    else:
+        schema = T.StructType([T.StructField("key", kind), T.StructField("n", T.LongType())])
+        table = F.broadcast(df.sparkSession.createDataFrame(list(hot.items()), schema))
+    salts = F.greatest(F.lit(2), F.ceil(F.col("n") / per_slice)).cast("int")
+    return table.select(F.col("key").cast(kind).alias(key), salts.alias("_salts"))
+
 
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table surely has at most so many bytes, by the sizes of the files it comes from.
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    Runs no job. What Spark cannot tell the size of is not small.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= max_bytes
 
 
 def _salt_of(left: DataFrame, key: str, salts: Column) -> Column:
@@ -116,18 +141,18 @@ def lookup_join(
     table: DataFrame,
     key: str,
     how: str,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
     min_hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Join a dimension: broadcast when it has at most `max_rows` rows, else salted.
+    """Join a dimension: broadcast when it has at most `max_bytes`, else salted.
 
-    `table` should be cheap to count (a stored table). In the second case rows
+    `table` should be a stored table, whose size is known. In the second case rows
     without a key skip the shuffle: a left join only adds NULL columns to them.
     Hot keys are looked for in `counted`, a table `left` comes from, so that the
     joins before this one do not run for it.
     """
-    if is_small(table, max_rows):
+    if is_small(table, max_bytes):
         return left.join(F.broadcast(table), key, how)
     hot = hot_keys(left if counted is None else counted, key, min_rows=min_hot_rows)
     if how == "inner":

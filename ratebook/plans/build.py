@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quality import run_checks
-from ..operators.skew import HOT_ROWS, hot_keys
+from ..operators.skew import HOT_ROWS, Hot, hot_keys, is_small
 from ..operators.storage import stored, stored_all
 from . import intermediate, marts, staging
 from .checks import all_checks
 
-# First and last day of the date dimension of data without any date.
+# First and last day of the date dimension, which data outside of them widen.
 FIRST_DAY = date(2020, 1, 1)
 LAST_DAY = date(2030, 12, 30)
 
@@ -22,23 +22,31 @@ class Staged:
     """Stored staging tables and what is known about their contract ids.
 
     `contracts` are the headers: their nested columns live on in the lines.
+    `repeated` holds the contract ids of several rows, None if there are none.
     """
 
     contracts: DataFrame
     rates: DataFrame
     amendments: DataFrame
-    unique_contracts: bool
-    hot_rates: dict = field(default_factory=dict)
-    hot_contracts: dict = field(default_factory=dict)
+    repeated: DataFrame | None = None
+    hot_rates: Hot = field(default_factory=dict)
+    hot_contracts: Hot = field(default_factory=dict)
 
 
-def contract_ids_unique(contracts: DataFrame) -> bool:
-    """Reads the id column only."""
-    repeated = contracts.groupBy("contract_id").count().where("count > 1")
-    return repeated.limit(1).count() == 0
+def repeated_contracts(contracts: DataFrame) -> DataFrame | None:
+    """The contract ids of several rows, None if there are none. Reads the id column only."""
+    many = contracts.groupBy("contract_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = stored(many.select("contract_id"), "repeated_contracts")
+    return None if repeated.isEmpty() else repeated
 
 
-def _lines_per_contract(contracts: DataFrame, array: str, element: str, min_rows: int) -> dict:
+def split_by(df: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of contracts that are there once, and of the others; no shuffle if those are few."""
+    ids = F.broadcast(repeated) if is_small(repeated) else repeated
+    return df.join(ids, "contract_id", "left_anti"), df.join(ids, "contract_id", "left_semi")
+
+
+def _lines_per_contract(contracts: DataFrame, array: str, element: str, min_rows: int) -> Hot:
     """Contracts with very many array elements; reads one field of the elements."""
     return hot_keys(
         contracts, "contract_id", F.greatest(F.size(f"{array}.{element}"), F.lit(0)), min_rows
@@ -60,9 +68,9 @@ def stage(
 ) -> Staged:
     """Staging tables from nested raw contracts.
 
-    With unique contract ids every line is numbered inside its own row and
-    nothing is shuffled. Otherwise the lines of a contract meet in a window, and
-    contracts too large for one task are numbered over slices. The nested
+    Every line of a contract that is there once is numbered inside its own row and
+    nothing is shuffled. The lines of the other contracts meet in a window, and
+    those too large for one task are numbered over slices. The nested
     columns are read where they are unnested and never copied.
 
     Contracts that were loaded several times multiply their lines, as joins on the id do. With
@@ -72,45 +80,47 @@ def stage(
         raw = stored(latest_of_each(raw), "latest_contracts")
     contracts = staging.stg_contracts(raw, strict)
     headers = stored(contracts.drop(*staging.NESTED), "stg_contracts")
-    unique = contract_ids_unique(headers)
+    repeated = repeated_contracts(headers)
+    usual, again = (contracts, None) if repeated is None else split_by(contracts, repeated)
+    rates = staging.numbered_rates_of_unique_contracts(usual, strict)
+    amendments = staging.numbered_amendments_of_unique_contracts(usual, strict)
     hot_rates, hot_contracts = {}, {}
-    if unique:
-        rates = staging.numbered_rates_of_unique_contracts(contracts, strict)
-        amendments = staging.numbered_amendments_of_unique_contracts(contracts, strict)
-    else:
+    if again is not None:
         hot_contracts = hot_keys(headers, "contract_id", min_rows=min_hot_rows)
-        hot_rates = _lines_per_contract(contracts, "rate_schedules", "cpt_code", min_hot_rows)
-        hot_amendments = _lines_per_contract(
-            contracts, "amendments", "amendment_id", min_hot_rows
+        hot_rates = _lines_per_contract(again, "rate_schedules", "cpt_code", min_hot_rows)
+        hot_amendments = _lines_per_contract(again, "amendments", "amendment_id", min_hot_rows)
+        rates = rates.unionByName(
+            staging.stg_rate_schedules(staging.rate_lines(again), hot_rates, strict)
         )
-        rates = staging.stg_rate_schedules(staging.rate_lines(contracts), hot_rates, strict)
-        amendments = staging.stg_amendments(
-            staging.amendment_lines(contracts), hot_amendments, strict
+        amendments = amendments.unionByName(
+            staging.stg_amendments(staging.amendment_lines(again), hot_amendments, strict)
         )
     lines = stored_all({"stg_rate_schedules": rates, "stg_amendments": amendments})
     return Staged(
         headers,
         lines["stg_rate_schedules"],
         lines["stg_amendments"],
-        unique,
+        repeated,
         hot_rates,
         hot_contracts,
     )
 
 
 def covered_days(staged: Staged) -> tuple[date, date]:
-    """First and last day of any date of the contracts and of their rates, so each finds its key.
+    """First and last day of the calendar, or of any date of the contracts and their rates beyond it.
+
+    So each date finds its key.
 
     One job per table that reads the date columns only and brings one row to the driver.
     """
-    found = []
+    found = [FIRST_DAY, LAST_DAY]
     for table, names in (
         (staged.contracts, ("effective_date", "termination_date")),
         (staged.rates, ("rate_effective_date",)),
     ):
         ends = [f(F.col(c)) for c in names for f in (F.min, F.max)]
         found += [d for d in table.agg(*ends).first() if d is not None]
-    return (min(found), max(found)) if found else (FIRST_DAY, LAST_DAY)
+    return min(found), max(found)
 
 
 def normalized_rates(
@@ -120,12 +130,17 @@ def normalized_rates(
     as_of: date | None = None,
 ) -> DataFrame:
     """Normalised rates; `enriched` is only needed when contract ids repeat."""
-    return intermediate.int_rates_normalized(
-        staged.rates,
-        None if staged.unique_contracts else enriched,
-        ref_categories,
-        as_of,
-        staged.hot_rates,
+
+    def normalized(rates: DataFrame, contracts: DataFrame | None) -> DataFrame:
+        return intermediate.int_rates_normalized(
+            rates, contracts, ref_categories, as_of, staged.hot_rates
+        )
+
+    if staged.repeated is None:
+        return normalized(staged.rates, None)
+    usual, again = split_by(staged.rates, staged.repeated)
+    return normalized(usual, None).unionByName(
+        normalized(again, split_by(enriched, staged.repeated)[1])
     )
 
 
@@ -133,14 +148,16 @@ def fact_table(
     staged: Staged, rates: DataFrame, dimensions: dict[str, DataFrame]
 ) -> DataFrame:
     """The fact; `dim_contract` is only needed when contract ids repeat."""
-    return marts.fact_contracted_rates(
-        rates,
-        dimensions["dim_provider"],
-        dimensions["dim_payer"],
-        dimensions["dim_service"],
-        dimensions["dim_date"],
-        None if staged.unique_contracts else dimensions["dim_contract"],
-        staged.hot_rates,
+    lookups = [dimensions[f"dim_{name}"] for name in ("provider", "payer", "service", "date")]
+
+    def fact(lines: DataFrame, contracts: DataFrame | None) -> DataFrame:
+        return marts.fact_contracted_rates(lines, *lookups, contracts, staged.hot_rates)
+
+    if staged.repeated is None:
+        return fact(rates, None)
+    usual, again = split_by(rates, staged.repeated)
+    return fact(usual, None).unionByName(
+        fact(again, split_by(dimensions["dim_contract"], staged.repeated)[1])
     )
 
 
@@ -153,7 +170,7 @@ def build(
 ) -> dict[str, DataFrame]:
     """Intermediate and mart tables by name; dimensions are stored, the fact is lazy.
 
-    `days`: first and last day of the date dimension, by default those that the data cover.
+    `days`: first and last day of the date dimension, by default `covered_days`.
     """
     spark = staged.contracts.sparkSession
     first_day, last_day = days or covered_days(staged)

@@ -6,7 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.skew import hot_keys
+from .operators.skew import Hot, hot_keys
 from .operators.storage import new_folder, spread, stored, stored_all
 from .plans import build, extraction, intermediate, marts, staging
 from .plans.history import contract_history
@@ -45,7 +45,7 @@ def _stored_contracts(spark: SparkSession, folder: str) -> DataFrame:
     return stored(staging.stg_contracts(testdata.raw_contracts(spark, folder)), "stg_contracts")
 
 
-def _rates(spark: SparkSession, folder: str, contracts: DataFrame, hot: dict) -> DataFrame:
+def _rates(spark: SparkSession, folder: str, contracts: DataFrame, hot: Hot) -> DataFrame:
     return staging.stg_rate_schedules(testdata.rate_lines(spark, folder, contracts, hot), hot)
 
 
@@ -75,7 +75,7 @@ def _staged(spark: SparkSession, folder: str, amendments: bool = False) -> build
         contracts,
         lines["stg_rate_schedules"],
         lines.get("stg_amendments"),
-        build.contract_ids_unique(contracts),
+        build.repeated_contracts(contracts),
         hot,
     )
 
@@ -157,11 +157,11 @@ def int_rates_normalized_ref(spark: SparkSession, folder: str) -> DataFrame:
         contracts,
         _rates(spark, folder, contracts, hot),
         None,
-        build.contract_ids_unique(contracts),
+        build.repeated_contracts(contracts),
         hot,
     )
     enriched = None
-    if not staged.unique_contracts:
+    if staged.repeated is not None:
         enriched = intermediate.int_contracts_enriched(
             contracts, staged.rates, _amendments(spark, folder, contracts), AS_OF
         )
@@ -236,7 +236,7 @@ def fact_contracted_rates(spark: SparkSession, folder: str) -> DataFrame:
             "date_key", "full_date"
         ),
     }
-    if not staged.unique_contracts:
+    if staged.repeated is not None:
         enriched = stored(
             intermediate.int_contracts_enriched(
                 staged.contracts, staged.rates, _amendments(spark, folder, staged.contracts), AS_OF

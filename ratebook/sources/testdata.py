@@ -9,7 +9,7 @@ very many line items never becomes one giant array.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import HOT_ROWS, hot_keys, salted_join
+from ..operators.skew import HOT_ROWS, Hot, HotKeys, hot_keys, salted_join
 from ..operators.storage import spread
 from ..plans.staging import amendment_fields, rate_fields
 from ..schemas import RATE_SCHEDULE
@@ -67,7 +67,7 @@ def raw_contracts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _with_context(lines: DataFrame, contracts: DataFrame, hot: dict) -> DataFrame:
+def _with_context(lines: DataFrame, contracts: DataFrame, hot: Hot) -> DataFrame:
     headers = contracts.select(
         "contract_id",
         "payer_id",
@@ -78,23 +78,23 @@ def _with_context(lines: DataFrame, contracts: DataFrame, hot: dict) -> DataFram
     return salted_join(lines, headers, "contract_id", "inner", hot)
 
 
-def _hot_contracts(df: DataFrame, key: str, min_rows: int) -> dict[str, int]:
-    return {f"CON-{k}": n for k, n in hot_keys(df, key, min_rows=min_rows).items()}
+def _hot_contracts(df: DataFrame, key: str, min_rows: int) -> HotKeys:
+    return hot_keys(df.select(F.concat(F.lit("CON-"), key).alias("id")), "id", min_rows=min_rows)
 
 
-def hot_rate_contracts(spark: SparkSession, folder: str, min_rows: int = HOT_ROWS) -> dict[str, int]:
+def hot_rate_contracts(spark: SparkSession, folder: str, min_rows: int = HOT_ROWS) -> HotKeys:
     return _hot_contracts(table(spark, folder, "lineitem"), "l_orderkey", min_rows)
 
 
 def hot_amendment_contracts(
     spark: SparkSession, folder: str, min_rows: int = HOT_ROWS
-) -> dict[str, int]:
+) -> HotKeys:
     events = table(spark, folder, "events").selectExpr("event_id DIV 3 AS ok")
     return _hot_contracts(events, "ok", min_rows)
 
 
 def rate_lines(
-    spark: SparkSession, folder: str, contracts: DataFrame, hot: dict | None = None
+    spark: SparkSession, folder: str, contracts: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """Line items as raw rate lines of the staged `contracts`."""
     lines = (
@@ -125,7 +125,7 @@ def rate_lines(
 
 
 def amendment_lines(
-    spark: SparkSession, folder: str, contracts: DataFrame, hot: dict | None = None
+    spark: SparkSession, folder: str, contracts: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """Events as raw amendments of the staged `contracts`, three per contract."""
     lines = table(spark, folder, "events").selectExpr(

@@ -215,6 +215,26 @@ def test_both_staging_plans_agree(spark):
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_one_repeated_id_leaves_the_others_unshuffled(spark):
+    documents = testdata.contract_documents(spark, FOLDER)
+    raw = files.with_load_time(documents.unionByName(documents.where("contract_id = 'CON-1'")))
+    contracts = staging.stg_contracts(raw)
+    repeated = build.repeated_contracts(contracts)
+    assert [r[0] for r in repeated.collect()] == ["CON-1"]
+    usual, again = build.split_by(contracts, repeated)
+    assert (usual.count(), again.count()) == (documents.count() - 1, 2)
+    staged = build.stage(raw)
+    for lines in (
+        staging.numbered_rates_of_unique_contracts(usual),
+        staging.numbered_amendments_of_unique_contracts(usual),
+        intermediate.int_rates_normalized(build.split_by(staged.rates, repeated)[0]),
+    ):
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    wide = staging.stg_rate_schedules(staging.rate_lines(contracts))
+    assert _stable(staged.rates) == _stable(wide)
+
+
 def test_hot_contract_gives_the_same_tables(spark):
     """One contract holds a third of all documents; every hot path is taken."""
     documents = testdata.contract_documents(spark, FOLDER).where("contract_id < 'CON-11'")
@@ -225,9 +245,10 @@ def test_hot_contract_gives_the_same_tables(spark):
     raw = files.with_load_time(documents, F.lit("2024-01-01").cast("timestamp"))
     plain = build.stage(raw)
     hot = build.stage(raw, min_hot_rows=3)
-    assert plain.hot_rates == {} and "CON-HOT" in hot.hot_rates
-    assert list(hot.hot_contracts) == ["CON-HOT"]
-    assert not plain.unique_contracts
+    assert not plain.hot_rates
+    assert "CON-HOT" in {r.key for r in hot.hot_rates.table.collect()}
+    assert [r.key for r in hot.hot_contracts.table.collect()] == ["CON-HOT"]
+    assert [r[0] for r in plain.repeated.collect()] == ["CON-HOT"]
     expected, got = build.build(plain, AS_OF), build.build(hot, AS_OF)
     for name in (
         "stg_rate_schedules",

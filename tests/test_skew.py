@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ratebook.operators.ranking import row_numbers
-from ratebook.operators.skew import hot_keys, lookup_join, repeat_rows, salted_join
+from ratebook.operators.skew import hot_keys, hot_table, lookup_join, repeat_rows, salted_join
+from ratebook.operators.storage import stored
 
 
 def _lines(spark, rows=6000):
@@ -21,9 +22,24 @@ def _counted(df):
 
 def test_hot_keys_finds_the_heavy_key_only(spark):
     df = _lines(spark)
-    assert hot_keys(df, "k", min_rows=500) == {"a": 4000}
-    assert hot_keys(df, "k", min_rows=10_000) == {}
-    assert hot_keys(df, "k", weight=F.lit(10), min_rows=10_000) == {"a": 40_000}
+    found = hot_keys(df, "k", min_rows=500)
+    assert found and (found.keys, found.rows) == (1, 4000)
+    assert found.table.collect() == [("a", 4000)]
+    assert not hot_keys(df, "k", min_rows=10_000)
+    weighted = hot_keys(df, "k", weight=F.lit(10), min_rows=10_000)
+    assert weighted.table.collect() == [("a", 40_000)]
+
+
+def test_any_number_of_hot_keys_is_split(spark):
+    """There is no list to be too short: 200,000 keys are hot, and all rows of each are salted."""
+    df = spark.range(600_000).selectExpr("id % 200000 AS k", "id AS v")
+    hot = hot_keys(df, "k", min_rows=2)
+    assert (hot.keys, hot.rows) == (200_000, 600_000)
+    marks = hot_table(df, "k", hot, per_slice=1)
+    assert marks.where("_salts = 3").count() == 200_000
+    right = spark.range(0, 200_000, 2).selectExpr("id AS k", "id + 1 AS w")
+    joined = salted_join(df, right, "k", "left", hot, per_slice=1)
+    assert joined.selectExpr("count(*)", "count(w)", "sum(w - k)").first() == (600_000, 300_000, 300_000)
 
 
 def test_sliced_row_numbers_equal_the_window(spark):
@@ -76,10 +92,11 @@ def test_salted_join_equals_the_join(spark):
 def test_lookup_join_without_broadcast_equals_the_join(spark):
     left = _lines(spark).withColumn("k", F.when(F.col("c") != "5", F.col("k")))
     right = spark.createDataFrame([("a", 1), ("a", 2), ("k1", 3)], "k string, v int")
+    right = stored(right, "right")
     for how in ("inner", "left"):
         plain = left.join(right, "k", how).select("k", "c", "d", "v")
         small = lookup_join(left, right, "k", how)
-        large = lookup_join(left, right, "k", how, max_rows=1, min_hot_rows=100)
+        large = lookup_join(left, right, "k", how, max_bytes=1, min_hot_rows=100)
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
         assert _counted(plain) == _counted(small.select("k", "c", "d", "v"))
         assert _counted(plain) == _counted(large.select("k", "c", "d", "v"))

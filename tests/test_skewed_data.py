@@ -55,14 +55,14 @@ def folder(tmp_path_factory):
 def lowered(monkeypatch):
     for name in ("hot_rate_contracts", "hot_amendment_contracts"):
         monkeypatch.setattr(testdata, name, partial(getattr(testdata, name), min_rows=100))
-    small = partial(skew.lookup_join, max_rows=3, min_hot_rows=100)
+    small = partial(skew.lookup_join, max_bytes=3, min_hot_rows=100)
     monkeypatch.setattr(marts, "lookup_join", small)
     monkeypatch.setattr(intermediate, "lookup_join", small)
 
 
 def test_the_key_is_hot(spark, folder, lowered):
-    assert "CON-7" in testdata.hot_rate_contracts(spark, folder)
-    assert "CON-7" in testdata.hot_amendment_contracts(spark, folder)
+    for hot in (testdata.hot_rate_contracts, testdata.hot_amendment_contracts):
+        assert "CON-7" in {r.key for r in hot(spark, folder).table.collect()}
 
 
 @pytest.mark.parametrize(
