@@ -12,21 +12,25 @@ rank, in parallel.
 import os
 import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.storage import stored
 from .arrays import text_slices
-from .pieces import Remembered, text_pieces
+from .pieces import LONGEST, NO_CUT, REMEMBERED, piece_starts, text_pieces
 from .rows import id_type, map_batches
 
 # Groups of long lengths. A length is long beyond capacity / part; each part is tried.
 GROUPS = 32
 LONG_PARTS = (2, 3, 8)
+# Pieces that are given to the tokenizer as one text.
+JOINED = 2000
 
 
 def _best_configuration(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
@@ -180,24 +184,103 @@ def places(classes: list[tuple[tuple, int]]) -> tuple[np.ndarray, ...]:
     return table[:, 0], table[:, 1], table[:, 2]
 
 
-@lru_cache(maxsize=2)
-def _remembered_ids(path: str) -> tuple[tuple[str, ...], Remembered]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    specials = tuple(
-        t.content for t in tokenizer.get_added_tokens_decoder().values() if t.special
-    )
+class _Ids:
+    """Ids of pieces, remembered in one flat array."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path)
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self.specials = tuple(t.content for t in added if t.special)
+        # a byte-level token has one character for each byte
+        vocabulary = self._tokenizer.get_vocab()
+        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self._bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self._forget()
+
+    def _forget(self) -> None:
+        self._row: dict[bytes, int] = {}
+        self._flat, self._ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _rows(self, different: pa.Array) -> np.ndarray:
+        """Where the ids of each of these different pieces are."""
+        pieces, known = different.to_pylist(), self._row.get
+        rows = np.array([known(p, -1) for p in pieces], np.int64)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            at = np.frombuffer(different.buffers()[1], np.int64)[different.offset :][: len(pieces) + 1]
+            data = np.append(np.frombuffer(different.buffers()[2], np.uint8), [0x20, 0x20])
+            joins = (data[at[new]] == 0x20) & ~NO_CUT[data[at[new] + 1]] & (np.diff(at)[new] > 1)
+            new = np.concatenate([new[joins], new[~joins]])
+            made = [pieces[i] for i in new.tolist()]
+            flat, lengths = self._solved(made, int(joins.sum()))
+            rows[new] = len(self._ends) - 1 + np.arange(len(new))
+            self._ends = np.append(self._ends, self._ends[-1] + np.cumsum(lengths))
+            self._flat = np.concatenate([self._flat, flat])
+            short = (np.diff(at)[new] <= LONGEST).tolist()
+            kept = zip(made, rows[new].tolist(), short, strict=True)
+            self._row.update((p, row) for p, row, is_short in kept if is_short)
+        return rows
+
+    def _solved(self, pieces: list[bytes], joined: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after the other, and how many each has.
+
+        The first `joined` pieces begin where a text may be cut. They are given to the tokenizer
+        many as one text; the bytes of its tokens tell where a piece ends. Where they do not, as
+        a special string is one token, the pieces are given to it each.
+        """
+        flat, lengths = [], []
+        for low in range(0, len(pieces), JOINED):
+            part = pieces[low : min(low + JOINED, joined if low < joined else len(pieces))]
+            if low < joined:
+                encoded = self._tokenizer.encode_batch_fast([b"".join(part).decode()], add_special_tokens=False)
+                ids = np.array(encoded[0].ids, np.uint32)
+                ends = np.cumsum([len(p) for p in part])
+                sums = np.cumsum(self._bytes[ids])
+                cuts = np.searchsorted(sums, ends)
+                if cuts[-1] == len(ids) - 1 and np.array_equal(sums[cuts], ends):
+                    flat.append(ids)
+                    lengths.append(np.diff(cuts, prepend=-1))
+                    part = pieces[low + len(part) : low + JOINED]
+            made = self._tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
+            flat += [np.array(e.ids, np.uint32) for e in made]
+            lengths.append(np.array([len(e.ids) for e in made], np.int64))
+        return np.concatenate(flat), np.concatenate(lengths)
+
+    def of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and where those of each piece begin, the end included."""
+        if len(self._ends) > REMEMBERED or len(self._flat) > 8 * REMEMBERED:
+            self._forget()
+        coded = pieces.dictionary_encode()
+        rows = self._rows(coded.dictionary)[coded.indices.to_numpy()]
+        first, lengths = self._ends[rows], self._ends[rows + 1] - self._ends[rows]
+        bounds = np.append(0, np.cumsum(lengths))
+        at = np.arange(int(bounds[-1])) + np.repeat(first - bounds[:-1], lengths)
+        return self._flat[at], bounds
+
+    def of_texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        raw = data.tobytes()
+        special = [s.encode() for s in self.specials if s.encode() in raw]
+        starts, bounds = piece_starts(data, offsets)
+        column = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(raw)]
+        )
+        ids, ends = self.of(column)
+        for text, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            own = raw[a:b]
+            if any(s in own for s in special):
+                parts = [p.encode() for p in text_pieces(own.decode(), self.specials)]
+                yield self.of(pa.array(parts, pa.large_binary()))[0]
+            else:
+                yield ids[ends[bounds[text]] : ends[bounds[text + 1]]]
 
-    def solve(pieces: list[str]) -> list[bytes]:
-        found = []
-        for low in range(0, len(pieces), 10_000):
-            part = tokenizer.encode_batch_fast(pieces[low : low + 10_000], add_special_tokens=False)
-            found += [np.array(e.ids, "<u4").tobytes() for e in part]
-        return found
 
-    return specials, Remembered(solve)
+@lru_cache(maxsize=2)
+def _ids(path: str) -> _Ids:
+    return _Ids(path)
 
 
 def token_pieces(
@@ -206,20 +289,15 @@ def token_pieces(
     """doc_id, piece, start, length, ids_crc32, and the task and rank of length among its pieces."""
 
     def job(batches):
-        specials, remembered = _remembered_ids(path)
+        known = _ids(path)
         end = np.array([end_id], "<u4").tobytes()
         seen = np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
         for batch in batches:
             for low, _, data, offsets in text_slices(batch.column(1)):
-                raw = data.tobytes()
-                texts = [
-                    text_pieces(raw[a:b].decode(), specials)
-                    for a, b in zip(offsets[:-1], offsets[1:], strict=True)
-                ]
                 rows = []
-                for i, found in enumerate(remembered.of(texts)):
-                    ids = b"".join(found) + end
+                for i, found in enumerate(known.of_texts(data, offsets)):
+                    ids = found.astype("<u4").tobytes() + end
                     n = len(ids) // 4
                     first = (n - 1) % capacity + 1
                     starts = [0, *range(first, n, capacity)]

@@ -9,6 +9,8 @@ import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
+import numpy as np
+
 # Unicode's White_Space.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WHITE_AFTER_SPACE = re.compile(f" (?:[{_WHITE}]|$)")
@@ -31,6 +33,24 @@ def text_pieces(text: str, specials: tuple[str, ...]) -> list[str]:
     return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
 
 
+# First bytes that no cut is made before: ASCII white space, and those of other white space, which
+# other characters share. A place that is left out only makes a longer piece.
+NO_CUT = np.zeros(256, bool)
+NO_CUT[[0x20, *range(0x09, 0x0E), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of the texts begin in their bytes, and per text its first piece.
+
+    The second array has one more entry, the number of pieces.
+    """
+    cut = np.zeros(len(data) + 1, bool)
+    cut[: max(len(data) - 1, 0)] = (data[:-1] == 0x20) & ~NO_CUT[data[1:]]
+    cut[offsets] = True
+    starts = np.flatnonzero(cut[:-1])
+    return starts, np.searchsorted(starts, offsets)
+
+
 class Remembered:
     """Results of pieces; `solve` makes those of a list of new pieces."""
 
