@@ -26,9 +26,10 @@ from .arrays import text_slices
 from .pieces import LONGEST, NO_CUT, REMEMBERED, piece_starts, text_pieces
 from .rows import id_type, map_batches
 
-# Groups of long lengths. A length is long beyond capacity / part; each part is tried.
-GROUPS = 32
-LONG_PARTS = (2, 3, 8)
+# Groups of long lengths. A length is long beyond capacity / LONG: two of them fit a sequence, so
+# there are configurations to optimise.
+GROUPS = 128
+LONG = 3
 # Pieces that are given to the tokenizer as one text.
 JOINED = 2000
 
@@ -111,18 +112,8 @@ class _Bins:
 
 
 def plan(counts: np.ndarray, capacity: int, groups: int = GROUPS) -> list[tuple[tuple, int]]:
-    """(lengths of a sequence, number of such sequences); counts[n]: pieces of length n.
-
-    Rounding loses room where few groups hold many lengths, so the scheme is run for several
-    borders between long and short, and the plan with the fewest sequences counts.
-    """
-    plans = [_grouped(counts, capacity, groups, capacity // part) for part in LONG_PARTS]
-    return min(plans, key=lambda classes: sum(times for _, times in classes))
-
-
-def _grouped(
-    counts: np.ndarray, capacity: int, groups: int, least: int
-) -> list[tuple[tuple, int]]:
+    """(lengths of a sequence, number of such sequences); counts[n]: pieces of length n."""
+    least = capacity // LONG
     bins = _Bins(capacity)
     bins.add((capacity,), int(counts[capacity]))
     lengths = np.arange(capacity - 1, least, -1)
