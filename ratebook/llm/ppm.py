@@ -30,8 +30,9 @@ ORDER = 5
 _BEFORE, _END = 0xFE, 0xFF
 _ALPHABET = 257
 _FREE = np.uint64(2**64 - 1)
-# Entries of documents, words and grams that a task holds before it hands them on.
-HELD = 4_000_000
+# Grams, and entries of words in texts, that a task holds before it hands them on: 16 bytes each,
+# and as much again while they are put in order.
+HELD = 2_000_000
 # Symbols after one byte: entries of the contexts that go to every part, and parts of that vector.
 _PAIRS = 1 << 16
 _VECTORS = 16
@@ -79,7 +80,7 @@ class _Sums:
     def add(self, keys: np.ndarray, amounts: np.ndarray) -> None:
         self._held.append((keys, amounts.astype(np.int64)))
         self._size += len(keys)
-        if self._size > max(HELD // 2, len(self._done[0])):
+        if self._size > max(HELD // 4, len(self._done[0]) // 2):
             self.total()
 
     def __len__(self) -> int:
@@ -277,7 +278,8 @@ def _word_entries(
     words, owner = words[order], owner[order]
     new = np.append(True, (words[1:] != words[:-1]) | (owner[1:] != owner[:-1]))[: len(words)]
     at = np.flatnonzero(new)
-    return words[at], owner[at], np.diff(np.append(at, len(words))), np.diff(bounds) + 1
+    times = np.diff(np.append(at, len(words)))
+    return words[at], owner[at].astype(np.int32), times.astype(np.int32), np.diff(bounds) + 1
 
 
 def score(
@@ -322,22 +324,19 @@ def score(
                     (words, texts, times, n, trained[low:high], data, np.diff(offsets), batch.column(0).slice(low, high - low))
                 )
                 size += len(words)
-                if size > HELD or len(seen) > HELD // 2:
+                if size > HELD or len(seen) > HELD:
                     yield from hand_on(held, seen, chunk)
-                    held, seen, chunk, size = [], _Sums(), chunk + 1, 0
+                    seen, chunk, size = _Sums(), chunk + 1, 0
         if held:
             yield from hand_on(held, seen, chunk)
 
     def hand_on(held: list[tuple], seen: _Sums, chunk: int) -> Iterator[dict]:
-        words, texts, times, n, trained, data, lengths, ids = zip(*held, strict=True)
+        """Texts, words and grams one after the other, each freed before the next; empties `held`."""
+        words, texts, times, n, trained, data, lengths, ids = map(list, zip(*held, strict=True))
+        held.clear()
         before = np.cumsum([0, *map(len, n)])
         n, trained = np.concatenate(n), np.concatenate(trained)
-        texts = np.concatenate([t + b for t, b in zip(texts, before[:-1], strict=True)])
-        words, times = np.concatenate(words), np.concatenate(times)
-        order = np.argsort(words, kind="stable")
-        words, texts, times = words[order], texts[order], times[order]
         number = (TaskContext.get().partitionId() << 20) | chunk
-        bounds = _by_part(words, parts)
         frame = pa.RecordBatch.from_arrays(
             [pa.concat_arrays(ids), pa.array(n), pa.array(~trained), pa.array(np.concatenate(lengths))],
             names=["doc_id", "n", "held_out", "bytes"],
@@ -349,38 +348,56 @@ def score(
             "part": [None],
             "chunk": [number],
             "texts": [sink.getvalue().to_pybytes()],
-            "raw": [compress_text(np.concatenate(data).tobytes())],
+            "raw": [compress_text(np.concatenate(data))],
             "words": [None],
             "grams": [None],
         }
+        data.clear()
+        del frame, sink
+        yield from hand_on_words(words, texts, times, before, trained, number)
         keys, counts = seen.total()
         grams = keys >> np.uint64(1)
         starts = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
         known = np.add.reduceat(np.where(keys & np.uint64(1), 0, counts), starts)
         grams = grams[starts]
-        own_part = gram_parts(grams, parts)
+        own_part = gram_parts(grams, parts).astype(np.int32)
         order = np.argsort(own_part, kind="stable")
         grams, known = grams[order], known[order]
         edges = np.searchsorted(own_part[order], np.arange(parts + 1))
-        for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        del own_part, order, keys, counts
+        for part in np.flatnonzero(np.diff(edges)):
             low, high = edges[part], edges[part + 1]
-            if a == b and low == high:
-                continue
-            packed = None
-            if a < b:
-                own = words[a:b]
-                starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                sizes = np.diff(np.append(starts, b - a))
-                learned = np.add.reduceat(times[a:b] * trained[texts[a:b]], starts)
-                packed = pack(own[starts], sizes, learned, texts[a:b], times[a:b])
-            yield {
-                "part": [part],
-                "chunk": [number],
-                "texts": [None],
-                "raw": [None],
-                "words": [packed],
-                "grams": [pack(grams[low:high], known[low:high]) if low < high else None],
-            }
+            yield _asked(part, number, grams=pack(grams[low:high], known[low:high]))
+
+    def hand_on_words(words, texts, times, before, trained, number) -> Iterator[dict]:
+        for t, b in zip(texts, before[:-1].tolist(), strict=True):
+            t += np.int32(b)
+        parted = []
+        for pieces in (words, texts, times):
+            parted.append(np.concatenate(pieces))
+            pieces.clear()
+        order = np.argsort(parted[0], kind="stable").astype(np.int32)
+        words, texts, times = (column[order] for column in parted)
+        del parted, order
+        bounds = _by_part(words, parts)
+        for part in np.flatnonzero(np.diff(bounds)):
+            a, b = bounds[part], bounds[part + 1]
+            own = words[a:b]
+            starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            sizes = np.diff(np.append(starts, b - a))
+            learned = np.add.reduceat(times[a:b] * trained[texts[a:b]], starts)
+            packed = pack(own[starts], sizes, learned, texts[a:b], times[a:b])
+            yield _asked(part, number, words=packed)
+
+    def _asked(part, number, words=None, grams=None) -> dict:
+        return {
+            "part": [int(part)],
+            "chunk": [number],
+            "texts": [None],
+            "raw": [None],
+            "words": [words],
+            "grams": [grams],
+        }
 
     def look_up(table: pa.Table) -> Iterator[dict]:
         yield from look_up_grams(table)
