@@ -22,11 +22,21 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn(_KEY, row_key("doc_id", "text"))
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, list[str], list]:
+    """Documents whose other columns have names no operator uses, these, and all as they were."""
+    names = {c: c if c in ("doc_id", "text") else f"_aside_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    others = [n for c, n in names.items() if n != c]
+    return renamed, others, [F.col(n).alias(c) for c, n in names.items()]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts to be toxic go."""
-    return toxicity.toxicity(
-        docs, table(spark, sf_dir, "labels"), fold(5) == 0, carried=tuple(docs.columns)
-    ).where("predicted = 0").select(docs.columns)
+    given, others, back = _aside(docs)
+    found = toxicity.toxicity(
+        given, table(spark, sf_dir, "labels"), fold(5) == 0, carried=("text", *others)
+    )
+    return found.where("predicted = 0").select(*back)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,15 +60,17 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Bytes of a character that was cut through are left out; n_chars follows the text.
     """
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = suffix_dedup.dedup_strings(docs, carried=others)
+    given, others, back = _aside(docs)
+    found = suffix_dedup.dedup_strings(given, carried=tuple(others))
     text = F.try_validate_utf8("kept")
-    return (
+    cut = (
         found.where("n_removed = 0 or n_removed < n_bytes")
         .withColumn("text", F.coalesce(text, F.expr("replace(make_valid_utf8(kept), '\\uFFFD', '')")))
-        .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-        .select(docs.columns)
+        .select(*back)
     )
+    if "n_chars" not in docs.columns:
+        return cut
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
