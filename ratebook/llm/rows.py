@@ -8,6 +8,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def partitions(spark: SparkSession) -> int:
@@ -67,12 +69,13 @@ def map_batches(
 
 
 def record_batch(columns: dict, fields: pa.Schema) -> pa.RecordBatch:
+    def made(column, kind: pa.DataType) -> pa.Array:
+        if not isinstance(column, pa.Array):
+            return pa.array(column, kind)
+        return column if column.type == kind else column.cast(kind)
+
     return pa.RecordBatch.from_arrays(
-        [
-            c if isinstance(c, pa.Array) else pa.array(c, fields.field(i).type)
-            for i, c in enumerate(columns[name] for name in fields.names)
-        ],
-        schema=fields,
+        [made(columns[field.name], field.type) for field in fields], schema=fields
     )
 
 
@@ -87,13 +90,11 @@ _TYPES = {
 
 
 def arrow_schema(schema: str) -> pa.Schema:
-    """The Arrow form of a list of "name type" with plain types."""
-    return pa.schema(
-        [
-            pa.field(name, _TYPES[kind])
-            for name, kind in (part.split() for part in schema.split(","))
-        ]
-    )
+    """The Arrow form of a list of "name type"; types that are not plain are left to Spark."""
+    parts = [part.split() for part in schema.split(",")]
+    if any(len(part) != 2 or part[1] not in _TYPES for part in parts):
+        return to_arrow_schema(StructType.fromDDL(schema))
+    return pa.schema([pa.field(name, _TYPES[kind]) for name, kind in parts])
 
 
 def id_type(df: DataFrame, column: str) -> str:

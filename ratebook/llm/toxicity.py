@@ -59,7 +59,8 @@ _SUSPICIOUS = re.compile(
     rf"|[A-Za-z]{{1,8}}(?:[{_BREAKS}][A-Za-z{_SIGNS}]{{1,8}}){{2,}}"
     r")"
 )
-_REPEATS = re.compile(r"[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*")
+_THRICE = re.compile(r"([A-Za-z])\1\1")
+_WORD = re.compile(r"[A-Za-z]{3,}")
 _BREAK = re.compile(rf"[ {_BREAKS}]+")
 
 # Letters of the character model: a border, a to z, and all others as one.
@@ -141,7 +142,13 @@ class Channel:
     def restore(self, text: str) -> str:
         """The text with its suspicious tokens replaced by their likeliest reading."""
         text = _SUSPICIOUS.sub(self._read, text)
-        return _REPEATS.sub(self._read, text)
+        if _THRICE.search(text):
+            text = _WORD.sub(self._read_repeated, text)
+        return text
+
+    def _read_repeated(self, match: re.Match) -> str:
+        """A whole word, read anew if it has a letter three times in a row."""
+        return self._read(match) if _THRICE.search(match.group()) else match.group()
 
     def _read(self, match: re.Match) -> str:
         token = match.group()
@@ -155,9 +162,10 @@ class Channel:
         """Viterbi over (last two letters); every letter or sign of the token is consumed."""
         joined = _BREAK.sub("", token.lower())
         runs = [(m.group(1), len(m.group())) for m in re.finditer(r"(.)\1*", joined, re.DOTALL)]
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # what was written is a chain of its parts, so that a long token takes no more per symbol
+        best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for symbol, length in runs:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple]] = {}
             letters = READINGS.get(symbol, symbol)
             extra = self.SIGN if symbol in READINGS else 0.0
             for times in (1, 2) if length > 1 else (1,):
@@ -170,10 +178,19 @@ class Channel:
                             total += self._cost[a][b][c]
                             a, b = b, c
                         if (a, b) not in after or total < after[a, b][0]:
-                            after[a, b] = (total, written + letter * times)
+                            after[a, b] = (total, (written, letter * times))
             best = after
-        ends = ((cost + self._cost[a][b][0], written) for (a, b), (cost, written) in best.items())
-        return min(ends)[1]
+        ends = [(cost + self._cost[a][b][0], written) for (a, b), (cost, written) in best.items()]
+        least = min(cost for cost, _ in ends)
+        return min(_written(parts) for cost, parts in ends if cost == least)
+
+
+def _written(chain: tuple) -> str:
+    parts = []
+    while chain:
+        chain, part = chain
+        parts.append(part)
+    return "".join(reversed(parts))
 
 
 _IS_SIGN = np.zeros(256, bool)
@@ -321,7 +338,8 @@ def toxicity(
     """doc_id, held_out, score, predicted and carried columns of every row.
 
     `held_out`: an expression over doc_id; labels of ids where it is true are not used. Of the
-    other labelled ids the `sample` with the least hash fit the word weights and the scale; the
+    other labelled ids the `sample` with the least hash fit the word weights and the scale, of an
+    id with several rows the one with the least sum of weights fits the scale; the
     character model counts every row's text. Only the text enters a score. Null and empty texts
     get the score of a text without telling words; without labels of both kinds every row gets
     the share of label 1. A repeated id gets its label on each row; `carried` names columns
@@ -338,7 +356,7 @@ def toxicity(
         .limit(sample)
     )
     channel = Channel(count_trigrams(rows.select("text")))
-    labelled = rows.join(F.broadcast(known), "doc_id").select("text", "label")
+    labelled = rows.join(F.broadcast(known), "doc_id").select("text", "label", "doc_id")
     words, weights = _word_weights(labelled, channel)
     shared = docs.sparkSession.sparkContext.broadcast((channel, words, weights))
 
@@ -348,9 +366,13 @@ def toxicity(
                 yield {
                     "x": _sums(data, offsets, *shared.value[1:]),
                     "label": batch.column(1).slice(low, high - low),
+                    "doc_id": batch.column(2).slice(low, high - low),
                 }
 
-    fitted = map_batches(labelled, measure, "x double, label int").toPandas()
+    # of an id with several rows one, so that no more rows come to the driver than ids were sampled
+    measured = map_batches(labelled, measure, f"x double, label int, doc_id {id_type(rows, 'doc_id')}")
+    once = measured.groupBy("doc_id").agg(F.min(F.struct("x", "label")).alias("one"))
+    fitted = once.select("one.*").toPandas().sort_values(["x", "label"])
     base, slope = fit_logistic(fitted["x"].to_numpy(float), fitted["label"].to_numpy(float))
 
     def judge(batches):
