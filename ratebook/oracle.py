@@ -711,6 +711,12 @@ ORACLE: dict[str, str] = {
     "dim_date": _calendar(),
     "fact_contracted_rates": with_relations("SELECT * FROM fact"),
     "published_fact": with_relations("SELECT * FROM fact"),
+    "published_contract_totals": with_relations(
+        "SELECT c.contract_id, c.contract_duration_days, count(rate_amount) AS lines, "
+        "CAST(sum(rate_amount) AS DECIMAL(22,2)) AS value, max(cpt_code) AS last_code "
+        "FROM d_contract c LEFT JOIN fact f ON f.contract_key = c.contract_key "
+        "GROUP BY c.contract_key, c.contract_id, c.contract_duration_days"
+    ),
     "published_payers": with_relations(
         "SELECT d.* REPLACE (r.payer_type AS payer_type, r.payer_state AS payer_state, "
         "r.payer_website AS payer_website) FROM d_payer d LEFT JOIN ref_pay r "

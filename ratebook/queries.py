@@ -23,6 +23,7 @@ SECOND_LOAD = datetime(2024, 2, 1)
 THIRD_LOAD = datetime(2024, 3, 1)
 BUCKET = "raw"
 FILES_PER_BATCH = 1000
+BUCKETS = 32
 
 
 def _plain(df: DataFrame, *drop: str) -> DataFrame:
@@ -290,10 +291,34 @@ def published_fact(spark: SparkSession, folder: str) -> DataFrame:
     """The fact as a bucketed table of its layer, read back."""
     fact = fact_contracted_rates(spark, folder)
     _publish_to(spark, "fact_contracted_rates")
-    layered.save_fact(fact, buckets=32)
+    layered.save_fact(fact, buckets=BUCKETS)
     return layered.load_table(spark, "fact_contracted_rates")
 
 
+def published_contract_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and value of each contract: two bucketed tables meet and are grouped where they lie."""
+    for name, table, order in (
+        ("fact_contracted_rates", fact_contracted_rates(spark, folder), "service_key"),
+        ("dim_contract", dim_contract(spark, folder), "contract_id"),
+    ):
+        _publish_to(spark, name)
+        layered.save_bucketed(table, name, BUCKETS, "contract_key", order)
+    facts = layered.load_table(spark, "fact_contracted_rates")
+    contracts = layered.load_table(spark, "dim_contract").where("is_current")
+    return (
+        contracts.select("contract_key", "contract_id", "contract_duration_days")
+        .hint("merge")
+        .join(facts.select("contract_key", "rate_amount", "cpt_code"), "contract_key", "left")
+        .groupBy("contract_key", "contract_id", "contract_duration_days")
+        .agg(
+            F.count("rate_amount").alias("lines"),
+            F.sum("rate_amount").cast("decimal(22,2)").alias("value"),
+            F.max("cpt_code").alias("last_code"),
+        )
+        .drop("contract_key")
+    )
+
+
 def published_payers(spark: SparkSession, folder: str) -> DataFrame:
     """Payers with a reference from a seed file, as a table of their layer, read through a view."""
     path = new_folder(spark, "seeds") + "/ref_payers.csv"
@@ -650,6 +675,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fact_of_latest_documents,
         dq_report,
         published_fact,
+        published_contract_totals,
         published_payers,
         contract_history_two_loads,
         contract_history_repeated_ids,

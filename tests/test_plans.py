@@ -501,3 +501,10 @@ def test_no_date_without_its_key(spark):
     assert fact.where("rate_effective_date IS NOT NULL AND effective_date_key IS NULL").count() == 0
     late = "contract_termination_date IS NOT NULL AND termination_date_key IS NULL"
     assert fact.where(late).count() == 0
+
+
+def test_bucketed_tables_join_and_group_without_a_shuffle(spark):
+    totals = queries.published_contract_totals(spark, FOLDER)
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert totals.count() > 1000
