@@ -3,10 +3,16 @@
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .skew import Hot, salted_join
+from .storage import stored
+
+# Ranges of keys of a stored history; a load rewrites the open versions of those it has keys in.
+RANGES = 256
+_RANGE = "key_range"
 
 
 def _versions(rows: DataFrame, key: str, at) -> DataFrame:
@@ -63,3 +69,87 @@ def apply_snapshot(
         "dbt_valid_to", F.when(replaced, at).otherwise(F.col("dbt_valid_to"))
     ).select(*history.columns)
     return kept.unionByName(_versions(added, key, at))
+
+
+def _range_of(key: str, bounds: Sequence) -> Column:
+    """The number of the range of a key: how many bounds are not above it, found by halving."""
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        above = F.col(key) >= F.lit(bounds[middle])
+        return F.when(above, search(middle + 1, high)).otherwise(search(low, middle))
+
+    return F.when(F.col(key).isNull(), F.lit(-1)).otherwise(search(0, len(bounds)))
+
+
+def _bounds(current: DataFrame, key: str, ranges: int) -> list:
+    """Keys that cut a table into ranges of about the same number of rows; at most `ranges`."""
+    keys = current.where(F.col(key).isNotNull()).select(key).repartitionByRange(ranges, key)
+    least = keys.groupBy(F.spark_partition_id()).agg(F.min(key).alias("least"))
+    return sorted(r["least"] for r in least.collect())[1:]
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    return None
+
+
+def merge_snapshot(
+    path: str,
+    current: DataFrame,
+    key: str,
+    check: Sequence[str],
+    at: datetime,
+    hot: Hot | None = None,
+    ranges: int = RANGES,
+) -> None:
+    """`apply_snapshot` on a history that is stored below `path`, rewriting what the load touches.
+
+    Open versions are kept by range of keys, closed ones by the load that closed them. A load reads
+    and rewrites the ranges it has keys in and adds the versions it closes; nothing else is read.
+    The ranges are cut at the first load. A load that was broken off can be run again: what it
+    closes is written, under its time, before the open versions change, and is not written again
+    once it is complete. Loads run one after the other, in order of `at`.
+    """
+    spark = current.sparkSession
+    old = _read(spark, f"{path}/open")
+    if old is None:
+        cuts = _bounds(current, key, ranges)
+        schema = f"place int, least {current.schema[key].dataType.simpleString()}"
+        spark.createDataFrame(list(enumerate(cuts)), schema).coalesce(1).write.mode("overwrite").parquet(
+            f"{path}/bounds"
+        )
+    known = spark.read.parquet(f"{path}/bounds").orderBy("place").collect()
+    place = _range_of(key, [r["least"] for r in known])
+    if old is None:
+        merged = apply_snapshot(None, current, key, check, at)
+    else:
+        touched = current.select(place.alias("r")).distinct().collect()
+        old = old.where(F.col(_RANGE).isin(*[r["r"] for r in touched])).drop(_RANGE)
+        merged = apply_snapshot(old, current, key, check, at, hot)
+    merged = stored(merged, "merged")
+    closed = f"{path}/closed/load={at:%Y%m%d%H%M%S%f}"
+    if _read(spark, closed) is None:
+        merged.where("dbt_valid_to IS NOT NULL").write.mode("overwrite").parquet(closed)
+    (
+        merged.where("dbt_valid_to IS NULL")
+        .withColumn(_RANGE, place)
+        .hint("rebalance", _RANGE)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(_RANGE)
+        .parquet(f"{path}/open")
+    )
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of a history stored by `merge_snapshot`."""
+    opened = spark.read.parquet(f"{path}/open").drop(_RANGE)
+    closed = spark.read.parquet(f"{path}/closed")
+    return opened.unionByName(closed.select(opened.columns))

@@ -729,6 +729,7 @@ ORACLE: dict[str, str] = {
     ),
     "dq_report": _dq_report(),
     "contract_history_two_loads": _history(),
+    "contract_history_merged": _history(),
     "contract_history_repeated_ids": _history(repeated=True),
     "rates_of_documents": _records("SELECT * FROM rate"),
     "amendments_of_documents": _records("SELECT * FROM amendment"),

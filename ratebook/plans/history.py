@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from ..operators.history import apply_snapshot
+from ..operators.history import RANGES, apply_snapshot, merge_snapshot
 from ..operators.skew import Hot
 
 # Key and compared columns of the contract history.
@@ -24,7 +24,18 @@ def contract_history(
     history: DataFrame | None, enriched: DataFrame, at: datetime, hot: Hot | None = None
 ) -> DataFrame:
     """`enriched` is `int_contracts_enriched`, where the compared columns exist."""
-    current = enriched.select(
+    return apply_snapshot(history, _kept(enriched), KEY, CHECKED, at, hot)
+
+
+def merge_contract_history(
+    path: str, enriched: DataFrame, at: datetime, hot: Hot | None = None, ranges: int = RANGES
+) -> None:
+    """The same on a stored history, of which only the ranges of keys of this load are rewritten."""
+    merge_snapshot(path, _kept(enriched), KEY, CHECKED, at, hot, ranges)
+
+
+def _kept(enriched: DataFrame) -> DataFrame:
+    return enriched.select(
         KEY,
         *CHECKED,
         "contract_duration_days",
@@ -33,4 +44,3 @@ def contract_history(
         "source_file",
         "loaded_at",
     )
-    return apply_snapshot(history, current, KEY, CHECKED, at, hot)

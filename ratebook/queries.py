@@ -6,10 +6,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.history import read_history
 from .operators.skew import Hot, hot_keys
 from .operators.storage import new_folder, spread, stored, stored_all
 from .plans import build, extraction, intermediate, marts, staging
-from .plans.history import contract_history
+from .plans.history import contract_history, merge_contract_history
 from .plans.validation import validate
 from .sources import contracts as contract_files
 from .sources import objects, seeds, testdata
@@ -364,6 +365,17 @@ def contract_history_two_loads(spark: SparkSession, folder: str) -> DataFrame:
     return contract_history(history, second, SECOND_LOAD, hot)
 
 
+def contract_history_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The same loads, and the second once more, merged into a stored history."""
+    contracts = _stored_contracts(spark, folder)
+    first, second = _two_loads(contracts)
+    path, hot = new_folder(spark, "history"), hot_keys(contracts, "contract_id")
+    merge_contract_history(path, first, FIRST_LOAD, hot, 16)
+    for at in (SECOND_LOAD, SECOND_LOAD, THIRD_LOAD):
+        merge_contract_history(path, second, at, hot)
+    return read_history(spark, path)
+
+
 def contract_history_repeated_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Every fourth contract is there with two payers, and the third load repeats the second."""
     contracts = _stored_contracts(spark, folder)
@@ -678,6 +690,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         published_contract_totals,
         published_payers,
         contract_history_two_loads,
+        contract_history_merged,
         contract_history_repeated_ids,
         rates_of_documents,
         amendments_of_documents,

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ratebook.operators.history import apply_snapshot
+from ratebook.operators.history import apply_snapshot, merge_snapshot, read_history
 from ratebook import queries, schemas
 from ratebook.operators.quality import run_checks
 from ratebook.plans import build, checks, history, intermediate, marts, staging
@@ -508,3 +508,23 @@ def test_bucketed_tables_join_and_group_without_a_shuffle(spark):
     plan = totals._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert totals.count() > 1000
+
+
+def test_a_small_load_rewrites_few_files_of_the_history(spark, tmp_path):
+    path, days = str(tmp_path / "history"), [datetime.datetime(2024, m, 1) for m in (1, 2, 3)]
+    load = spark.range(20_000).selectExpr("id AS k", "id % 7 AS v").unionByName(
+        spark.createDataFrame([(None, 1)], "k long, v long")
+    )
+    merge_snapshot(path, load, "k", ["v"], days[0], ranges=100)
+    before = {f.relative_to(tmp_path) for f in (tmp_path / "history/open").rglob("*.parquet")}
+    changed = spark.range(7_000, 7_200).selectExpr("id AS k", "id % 5 AS v")
+    for _ in range(2):  # the second is the same load again
+        merge_snapshot(path, changed, "k", ["v"], days[1], ranges=100)
+        after = {f.relative_to(tmp_path) for f in (tmp_path / "history/open").rglob("*.parquet")}
+        assert len(before) > 90 and len(before - after) <= 3
+        whole = apply_snapshot(
+            apply_snapshot(None, load, "k", ["v"], days[0]), changed, "k", ["v"], days[1]
+        )
+        assert _rows(read_history(spark, path), *whole.columns) == _rows(whole, *whole.columns)
+    merge_snapshot(path, changed, "k", ["v"], days[2], ranges=100)
+    assert read_history(spark, path).count() == whole.count()
