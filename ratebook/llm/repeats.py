@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .arrays import compress_text, decompress_text, mix, pack, unpack
-from .rows import arrow_schema, group_batches, id_type, keyed, map_batches, record_batch, ship_package
+from .rows import arrow_schema, give_back, group_batches, id_type, keyed, map_batches, record_batch, ship_package
 
 # Parts of the number line for each task of a shuffle, so that a part stays small.
 PARTS_PER_TASK = 4
@@ -225,6 +225,7 @@ def with_found(
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         blobs = right.column("found").to_pylist()
         made = [record_batch(columns, fields) for columns in job(left, blobs)] if len(left) else []
+        give_back()
         return pa.Table.from_batches(made, schema=fields)
 
     return texts.groupBy("place").cogroup(found.groupBy("place")).applyInArrow(run, schema)

@@ -1,5 +1,6 @@
 """Helpers of the operators: row keys, jobs over Arrow batches, sizes."""
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -12,6 +13,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+# Bytes of a group after which freed memory is returned to the system.
+_LARGE = 4_000_000
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks after a shuffle, as the session has it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -64,10 +69,19 @@ def map_batches(
     def run(batches):
         for columns in job(batches):
             yield record_batch(columns, fields)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on, and its arrays of one task are large."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def record_batch(columns: dict, fields: pa.Schema) -> pa.RecordBatch:
     def made(column, kind: pa.DataType) -> pa.Array:
         if not isinstance(column, pa.Array):
@@ -111,6 +125,8 @@ def group_batches(
 
     def run(table: pa.Table) -> pa.Table:
         made = [record_batch(columns, fields) for columns in job(table)]
+        if table.nbytes > _LARGE:
+            give_back()
         return pa.Table.from_batches(made, schema=fields)
 
     return df.groupBy(key).applyInArrow(run, schema)
