@@ -7,9 +7,10 @@ compares the score with one threshold for all.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.storage import stored
 from .arrays import (
     covered,
     mix,
@@ -21,14 +22,12 @@ from .arrays import (
     text_slices,
     whole_windows,
 )
-from .rows import group_batches, id_type, map_batches
+from .rows import group_batches, id_type, map_batches, partitions
 
 # Bytes of an n-gram, number of hash buckets, and parts the counts are added up in.
 WIDTH = 4
 BUCKETS = 1 << 17
 PARTS = 32
-# Labelled rows at most that the trusted counts and the threshold are taken from.
-SAMPLE = 20_000
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -138,21 +137,39 @@ def mean_ratios(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np
     return (sums[last] - sums[np.minimum(offsets[:-1], last)]) / np.maximum(n, 1)
 
 
-def best_threshold(scores: np.ndarray, good: np.ndarray) -> float:
-    """Where the shares of good rows below and of other rows above are least in sum."""
-    if not good.any() or good.all():
+def best_threshold(scored: DataFrame) -> float:
+    """Where the shares of good rows below and of other rows above are least in sum.
+
+    `scored`: score and good of all labelled rows. Rows of a score are counted before they are
+    dealt by ranges of the score; the driver gets one row of each range.
+    """
+    good, other = (F.sum(c.cast("bigint")) for c in (F.col("good"), ~F.col("good")))
+    counts = scored.groupBy("score").agg(good.alias("good"), other.alias("other"))
+    ranged = counts.repartitionByRange(partitions(scored.sparkSession), "score")
+    # stored, as the borders come from a sample and must not change between the two passes
+    ranged = stored(ranged.withColumn("slice", F.spark_partition_id()), "score_counts")
+    sums = [F.sum("good").alias("good"), F.sum("other").alias("other"), F.min("score").alias("least")]
+    slices = ranged.groupBy("slice").agg(*sums).orderBy("slice").collect()
+    n_good, n_other = (sum(r[c] for r in slices) for c in ("good", "other"))
+    if not n_good or not n_other:
         return -np.inf
-    order = np.argsort(scores, kind="stable")
-    scores, good = scores[order], good[order]
-    wrong = np.append(0, np.cumsum(good)) / good.sum() - np.append(0, np.cumsum(~good)) / (
-        ~good
-    ).sum()
-    ends = np.append(scores[1:] != scores[:-1], True)
-    cuts = np.append(0, np.flatnonzero(ends) + 1)
-    cut = cuts[int(wrong[cuts].argmin())]
-    if cut in (0, len(scores)):
-        return -np.inf if cut == 0 else float(scores[-1]) + 1e-9
-    return float((scores[cut - 1] + scores[cut]) / 2)
+    before, below = [], [0, 0]
+    for r, after in zip(slices, [*slices[1:], None], strict=True):
+        before.append((r["slice"], *below, after and after["least"]))
+        below = [below[0] + r["good"], below[1] + r["other"]]
+    schema = "slice int, good_before long, other_before long, next_slice double"
+    known = scored.sparkSession.createDataFrame(before, schema)
+    inside = Window.partitionBy("slice").orderBy("score")
+    wrong = (F.col("good_before") + F.sum("good").over(inside)) / F.lit(float(n_good)) - (
+        F.col("other_before") + F.sum("other").over(inside)
+    ) / F.lit(float(n_other))
+    cuts = ranged.join(F.broadcast(known), "slice").select(
+        wrong.alias("wrong"),
+        "score",
+        F.coalesce(F.lead("score").over(inside), "next_slice").alias("next"),
+    )
+    best = cuts.agg(F.min(F.struct("wrong", "score", "next")).alias("cut")).first()["cut"]
+    return (best["score"] + best["next"]) / 2 if best["wrong"] < 0 else -np.inf
 
 
 def quality(
@@ -161,69 +178,57 @@ def quality(
     id_column: str = "doc_id",
     text: str = "text",
     label: str = "quality",
-    sample: int = SAMPLE,
+    sample: int | None = None,
 ) -> DataFrame:
     """doc_id, base measures, base_failed, score and kept of every row.
 
     `labels`: doc_id and a label, 1 for trusted documents. The target counts cover every trusted
-    row, the raw counts every row; the threshold is that of the `sample` labelled ids with the
-    least hash, whatever their label. Null and empty texts have no words, score 0 and fail the base
-    rule; without usable labels only the base rule decides. A repeated id gets its label on each
-    row. Other columns are left out; an empty table gives none.
+    row, the raw counts every row, and the threshold every labelled row; with `sample` only those
+    of so many labelled ids with the least hash. Null and empty texts have no words, score 0 and
+    fail the base rule; without usable labels only the base rule decides. A repeated id gets its
+    label on each row. Other columns are left out; an empty table gives none.
+
+    Texts meet the labels in one merge join at any size, so that what is shuffled grows with them.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
         .groupBy("_id")
         .agg(F.min("_label").alias("_label"))
+        .where("_label IS NOT NULL")
     )
-    sampled = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     rows = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
-    trusted = known.where("_label = 1").select("_id")
-    marked = rows.join(trusted, F.col("doc_id") == F.col("_id"), "left").select(
+    # rows without an id have no label and would all meet in one task
+    named, unnamed = rows.where("doc_id IS NOT NULL"), rows.where("doc_id IS NULL")
+    trusted = known.where("_label = 1").select("_id").hint("merge")
+    marked = named.join(trusted, F.col("doc_id") == F.col("_id"), "left").select(
         "text", F.col("_id").isNotNull().alias("trusted")
     )
-    ratios = log_ratios(ngram_counts(marked))
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
-
-    def score_known(batches):
-        for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column(0)):
-                yield {
-                    "score": mean_ratios(data, offsets, shared.value),
-                    "label": batch.column(1).slice(low, high - low),
-                    "id": batch.column(2).slice(low, high - low),
-                }
-
-    labelled = rows.join(F.broadcast(sampled), F.col("doc_id") == F.col("_id"))
-    scores = map_batches(
-        labelled.where(F.col("_label").isNotNull()).select("text", "_label", "_id"),
-        score_known,
-        f"score double, label int, id {id_type(sampled, '_id')}",
-    )
-    # of an id with several rows one, so that no more rows come to the driver than ids were sampled
-    once = scores.groupBy("id").agg(F.min(F.struct("score", "label")).alias("one"))
-    found = once.select("one.*").collect()
-    good = np.array([r["label"] == 1 for r in found], bool)
-    threshold = best_threshold(np.array([r["score"] for r in found]), good)
+    marked = marked.unionByName(unnamed.select("text", F.lit(False).alias("trusted")))
+    shared = docs.sparkSession.sparkContext.broadcast(log_ratios(ngram_counts(marked)))
 
     def judge(batches):
         for batch in batches:
             for low, high, data, offsets in text_slices(batch.column(1)):
                 measures = base_measures(data, offsets)
-                score = mean_ratios(data, offsets, shared.value)
                 n = measures["n_words"]
-                failed = (n < 50) | (100 * measures["n_repeat_words"] > 50 * n)
                 yield measures | {
                     "doc_id": batch.column(0).slice(low, high - low),
-                    "base_failed": failed,
-                    "score": score,
-                    "kept": ~failed & (score >= threshold),
+                    "base_failed": (n < 50) | (100 * measures["n_repeat_words"] > 50 * n),
+                    "score": mean_ratios(data, offsets, shared.value),
                 }
 
-    return map_batches(
+    judged = map_batches(
         rows,
         judge,
         f"doc_id {id_type(docs, id_column)}, n_words long, word_chars long, n_symbols long, "
-        "n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean",
+        "n_dup_lines long, n_repeat_words long, base_failed boolean, score double",
+    )
+    judged = stored(judged, "judged")
+    if sample is not None:
+        known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    scored = judged.join(known.hint("merge"), F.col("doc_id") == F.col("_id")).select(
+        "score", (F.col("_label") == 1).alias("good")
     )
+    threshold = best_threshold(scored)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold)))

@@ -184,6 +184,37 @@ def test_quality_scores_do_not_depend_on_the_sample(spark, docs):
     assert found(few, "doc_id", "score") == found(whole, "doc_id", "score")
 
 
+def test_quality_threshold_comes_from_all_labelled_rows(spark):
+    """Beyond 20,000 ids, over several ranges of scores, with equal scores and repeated ids."""
+    rng = np.random.default_rng(3)
+    good = rng.random(26_000) < 0.3
+    scores = np.round(rng.normal(good * 0.8, 1.0), 3)
+    order = np.argsort(scores, kind="stable")
+    below = np.cumsum(good[order]) / good.sum() - np.cumsum(~good[order]) / (~good).sum()
+    cuts = np.flatnonzero(np.append(np.diff(scores[order]) != 0, True))
+    cut = cuts[below[cuts].argmin()]
+    wanted = (scores[order][cut] + scores[order][cut + 1]) / 2
+    pairs = list(zip(scores.tolist(), good.tolist(), strict=True))
+    scored = spark.createDataFrame(pairs, "score double, good boolean")
+    assert quality_rules.best_threshold(scored) == wanted
+    assert quality_rules.best_threshold(scored.where("good")) == -np.inf
+    assert quality_rules.best_threshold(scored.limit(0)) == -np.inf
+
+
+def test_quality_joins_texts_the_same_way_at_any_size(spark, docs, monkeypatch):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    plans = []
+    counted = quality_rules.ngram_counts
+
+    def seen(marked):
+        plans.append(marked._jdf.queryExecution().executedPlan().toString())
+        return counted(marked)
+
+    monkeypatch.setattr(quality_rules, "ngram_counts", seen)
+    quality_rules.quality(docs, labels)
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_substring_dedup(docs, texts, empty):
     words = [(i, WORD.findall(t.encode())) for i, t in texts]
     seen = windows_seen([w for _, w in words], 35)
