@@ -528,3 +528,33 @@ def test_a_small_load_rewrites_few_files_of_the_history(spark, tmp_path):
         assert _rows(read_history(spark, path), *whole.columns) == _rows(whole, *whole.columns)
     merge_snapshot(path, changed, "k", ["v"], days[2], ranges=100)
     assert read_history(spark, path).count() == whole.count()
+
+
+def test_a_history_is_compared_by_one_shuffle_at_any_size(spark):
+    """Small tables too: else what is shuffled grows faster than the tables."""
+    days = [datetime.datetime(2024, 1, d) for d in (1, 2)]
+    rows = [("a", "x"), ("a", "y"), ("a", "y"), ("b", None), ("c", "z"), (None, "n")]
+    load = spark.createDataFrame(rows, "k string, v string")
+    changed = spark.createDataFrame([("a", "y"), ("b", "w"), ("d", None), (None, "n")], "k string, v string")
+    one = apply_snapshot(None, load, "k", ["v"], days[0])
+    two = apply_snapshot(one, changed, "k", ["v"], days[1])
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    found = [(r.k, r.v, r.dbt_valid_from.day, r.dbt_valid_to and r.dbt_valid_to.day) for r in two.collect()]
+    assert sorted(found, key=repr) == sorted(
+        [
+            ("a", "x", 1, 2),
+            ("a", "y", 1, None),
+            ("a", "y", 1, None),
+            ("b", None, 1, 2),
+            ("b", "w", 2, None),
+            ("c", "z", 1, None),
+            ("d", None, 2, None),
+            (None, "n", 1, None),
+            (None, "n", 2, None),
+        ],
+        key=repr,
+    )
+    # a hot key is compared by joins, with the same result
+    hot = apply_snapshot(one, changed, "k", ["v"], days[1], {"a": 3})
+    assert sorted(map(tuple, hot.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
