@@ -558,3 +558,16 @@ def test_a_history_is_compared_by_one_shuffle_at_any_size(spark):
     # a hot key is compared by joins, with the same result
     hot = apply_snapshot(one, changed, "k", ["v"], days[1], {"a": 3})
     assert sorted(map(tuple, hot.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+
+
+def test_documents_are_dealt_before_they_are_combined(spark):
+    """No task sorts all the whole documents it has read."""
+    from ratebook.sources import contracts as files
+
+    rows = [("C1", ("f",)), ("C1", ("f",)), ("C2", (None,)), ("C2", (None,))]
+    df = spark.createDataFrame(rows, "contract_id string, extraction_metadata struct<source_file:string>")
+    new = files.new_contracts(df, None)
+    lines = new._jdf.queryExecution().sparkPlan().toString().splitlines()
+    places = [i for i, line in enumerate(lines) if "Exchange" in line or "Aggregate" in line]
+    assert len(places) == 3 and "Exchange hashpartitioning(_document" in lines[places[-1]]
+    assert sorted(r.contract_id for r in new.collect()) == ["C1", "C2"]
