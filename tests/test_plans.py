@@ -2,10 +2,13 @@
 
 import datetime
 import json
+from functools import partial
+from itertools import takewhile
 
 import pytest
 from pyspark.sql import functions as F
 
+from ratebook.operators import skew
 from ratebook.operators.history import apply_snapshot, merge_snapshot, read_history
 from ratebook import queries, schemas
 from ratebook.operators.quality import run_checks
@@ -510,6 +513,36 @@ def test_bucketed_tables_join_and_group_without_a_shuffle(spark):
     assert totals.count() > 1000
 
 
+def _below(plan, node):
+    """The part of a plan below the first node of that name, which is indented deeper."""
+    lines = plan.split("\n")
+    first = next(i for i, line in enumerate(lines) if node in line)
+    depth = lines[first].index(node)
+    deeper = takewhile(lambda line: not line[: depth + 1].strip(" :+-"), lines[first + 1 :])
+    return "\n".join(deeper)
+
+
+def test_lines_are_shuffled_without_keys(spark, monkeypatch):
+    staged = queries._staged(spark, FOLDER)
+    usual = queries._fact(spark, FOLDER, staged)
+    dealt = queries._fact(spark, FOLDER, staged, 4)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "_key#" not in _below(plan, "RebalancePartitions")
+    assert _rows(dealt, *dealt.columns) == _rows(usual, *usual.columns)
+    spark.sql("CREATE DATABASE IF NOT EXISTS marts")
+    tables.save_fact(dealt, buckets=4, deal=False)
+    files = spark.table("marts.fact_contracted_rates").select("_metadata.file_name").distinct()
+    buckets = files.select(F.regexp_extract("file_name", r"_(\d{5})\.", 1)).distinct()
+    assert files.count() == buckets.count() == 4
+
+    monkeypatch.setattr(marts, "is_small", lambda table: False)
+    monkeypatch.setattr(marts, "lookup_join", partial(skew.lookup_join, max_bytes=1))
+    large = queries._fact(spark, FOLDER, staged)
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in plan and "md5" not in _below(plan, "Join")
+    assert _rows(large, *large.columns) == _rows(usual, *usual.columns)
+
+
 def test_a_small_load_rewrites_few_files_of_the_history(spark, tmp_path):
     path, days = str(tmp_path / "history"), [datetime.datetime(2024, m, 1) for m in (1, 2, 3)]
     load = spark.range(20_000).selectExpr("id AS k", "id % 7 AS v").unionByName(
