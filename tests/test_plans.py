@@ -543,6 +543,20 @@ def test_lines_are_shuffled_without_keys(spark, monkeypatch):
     assert _rows(large, *large.columns) == _rows(usual, *usual.columns)
 
 
+def test_pdf_files_are_streamed_in_few_batches_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    pages = spark.range(1800).selectExpr("id AS page_id", "concat('u', id) AS url", "'x' AS html")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    monkeypatch.setattr(queries, "new_folder", lambda _, name: str(tmp_path / name))
+    found = queries.pdf_bytes(spark, str(tmp_path))
+    assert found.where("streamed_bytes = bytes AND listed").count() == found.count() == 1200
+    assert len(list((tmp_path / "sizes").glob("batch_id=*"))) == 1
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    monkeypatch.setattr(queries.ingest, "list_in_few_tasks", lambda s: s.conf.set(listing, "7"))
+    queries.ingest.pdf_stream(spark, str(tmp_path / "objects"))
+    assert spark.conf.get(listing) == "7"
+    spark.conf.unset(listing)
+
+
 def test_a_small_load_rewrites_few_files_of_the_history(spark, tmp_path):
     path, days = str(tmp_path / "history"), [datetime.datetime(2024, m, 1) for m in (1, 2, 3)]
     load = spark.range(20_000).selectExpr("id AS k", "id % 7 AS v").unionByName(
