@@ -5,10 +5,11 @@ import json
 from functools import partial
 from itertools import takewhile
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ratebook.operators import skew
+from ratebook.operators import skew, storage
 from ratebook.operators.history import apply_snapshot, merge_snapshot, read_history
 from ratebook import queries, schemas
 from ratebook.operators.quality import run_checks
@@ -618,3 +619,69 @@ def test_documents_are_dealt_before_they_are_combined(spark):
     places = [i for i, line in enumerate(lines) if "Exchange" in line or "Aggregate" in line]
     assert len(places) == 3 and "Exchange hashpartitioning(_document" in lines[places[-1]]
     assert sorted(r.contract_id for r in new.collect()) == ["C1", "C2"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _headers(spark):
+    """Contracts of few providers and payers: NULL ids, names that differ, one id that repeats."""
+    return spark.range(60).selectExpr(
+        "concat('C', id DIV (CASE WHEN id < 2 THEN 2 ELSE 1 END)) AS contract_id",
+        "CASE WHEN id % 7 = 3 THEN NULL ELSE concat('N', id % 5) END AS provider_npi",
+        "CASE WHEN id % 4 = 1 THEN NULL ELSE concat('Clinic ', id % 3) END AS provider_name",
+        "CASE WHEN id % 6 = 2 THEN NULL ELSE concat('P', id % 4) END AS payer_id",
+        "concat('Payer ', id % 4) AS payer_name",
+        "date_add(date'2024-01-01', int(id)) AS effective_date",
+        "CASE WHEN id % 5 <> 0 THEN date_add(date'2024-06-01', int(id)) END AS termination_date",
+    )
+
+
+def test_provider_names_are_not_sorted_with_the_rows(spark):
+    headers = _headers(spark)
+    found = marts.dim_provider(headers, AS_OF)
+    # a minimum of texts is computed over sorted rows: the distinct names only, not the contracts
+    sorting = [line for line in _plan(found).split("\n") if "SortAggregate" in line]
+    assert sorting and not any("effective_date" in line for line in sorting)
+    wanted = {}
+    for r in headers.where("provider_npi IS NOT NULL").collect():
+        wanted.setdefault(r.provider_npi, []).append(r)
+    assert found.count() == len(wanted)
+    for row in found.collect():
+        rows = wanted[row.provider_npi]
+        assert row.provider_name == min(r.provider_name for r in rows if r.provider_name)
+        assert row.total_contracts == len({r.contract_id for r in rows})
+        assert row.unique_payers == len({r.payer_id for r in rows if r.payer_id})
+        assert row.first_contract_date == min(r.effective_date for r in rows)
+        ends = [r.termination_date for r in rows if r.termination_date]
+        assert row.latest_contract_end == max(ends, default=None)
+
+
+@pytest.mark.parametrize("dimension", [marts.dim_provider, marts.dim_payer])
+def test_contracts_known_to_be_unique_are_counted_without_expanding_rows(spark, dimension):
+    headers = _headers(spark).dropDuplicates(["contract_id"])
+    counted = dimension(headers, as_of=AS_OF, unique_ids=True)
+    assert "Expand" not in _plan(counted)
+    drop = "_created_at"
+    assert sorted(map(str, counted.drop(drop).collect())) == sorted(
+        map(str, dimension(headers, as_of=AS_OF).drop(drop).collect())
+    )
+
+
+def test_lines_are_read_in_several_splits_for_each_core(spark):
+    name = "spark.sql.files.minPartitionNum"
+    spark.conf.unset(name)
+    try:
+        build.stage(files.with_load_time(files.declared(testdata.contract_documents(spark, FOLDER))))
+        assert int(spark.conf.get(name)) == 4 * spark.sparkContext.defaultParallelism
+        spark.conf.set(name, "3")
+        storage.read_in_small_splits(spark)
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.unset(name)
+    rows = spark.range(0, 400_000, 1, 1).selectExpr("md5(string(id)) AS k")
+    lines = storage.stored(rows, "lines", 1_000_000)
+    (file,) = lines.inputFiles()
+    assert pq.ParquetFile(file.removeprefix("file://")).metadata.num_row_groups > 4
+    assert lines.count() == 400_000
