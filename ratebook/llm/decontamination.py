@@ -6,6 +6,7 @@ the same one: two in seven of the k-grams are kept. Documents with a fingerprint
 then compared with the items' windows word by word, and hits extend to all words of every window.
 """
 
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -16,14 +17,26 @@ from .rows import row_key
 
 WINDOW = 10
 GRAM = 5
-# What separates words, once A-Z are lower-cased.
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What separates words, whatever the case of A-Z.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _as_written(text: Column) -> Column:
+    """The words of a text before A-Z are lower-cased, none for null."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
+
+
+def _lowered(word: Column) -> Column:
+    """A-Z lower-cased, and no other letter: `lower` is the faster way for ASCII."""
+    ascii_only = F.octet_length(word) == F.length(word)
+    return F.when(ascii_only, F.lower(word)).otherwise(
+        F.translate(word, ascii_uppercase, ascii_lowercase)
+    )
 
 
 def words_of(text: Column) -> Column:
     """The words of a text, none for null."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
-    return F.array_remove(F.split(lowered, SEPARATORS), "")
+    return F.transform(_as_written(text), _lowered)
 
 
 def _starts(words: Column, width: int) -> Column:
@@ -34,23 +47,6 @@ def _starts(words: Column, width: int) -> Column:
     )
 
 
-def _winnowed(words: Column, window: int, gram: int) -> tuple[Column, Column]:
-    """The hashes of all k-grams, and from them the distinct fingerprints of full windows."""
-    grams = F.transform(_starts(words, gram), lambda i: F.xxhash64(F.slice(words, i, gram)))
-    per_window = window - gram + 1
-    least = F.transform(
-        F.sequence(F.lit(1), F.size(words) - window + 1),
-        lambda i: F.array_min(F.slice(F.col("grams"), i, per_window)),
-    )
-    return grams, F.array_distinct(least)
-
-
-def _hashes(words: Column, width: int) -> Column:
-    return F.transform(
-        _starts(words, width), lambda i: F.xxhash64(F.lit(width), F.slice(words, i, width))
-    )
-
-
 def _texts(words: Column, width: int) -> Column:
     return F.transform(
         _starts(words, width),
@@ -62,20 +58,51 @@ def _texts(words: Column, width: int) -> Column:
     )
 
 
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
 def _fingerprints(df: DataFrame, window: int, gram: int, short: list[int]) -> DataFrame:
-    """key and fingerprint; also the hashes of windows of the `short` widths, marked by width."""
-    grams, least = _winnowed(F.col("words"), window, gram)
-    full = (
-        df.where(F.size("words") >= window)
-        .select("key", "words", grams.alias("grams"))
-        .select("key", F.explode(least).alias("fingerprint"))
+    """key and fingerprint; also the hashes of windows of the `short` widths, marked by width.
+
+    Words are hashed once; the rest is compiled code for each start, in steps, since one
+    expression would repeat its parts and outgrow what the JVM compiles. A gram's hash is made of
+    its words' hashes. A full window whose least gram is that of the window before is left out.
+    """
+    hashed = df.select("key", _hashes(F.col("words")).alias("hashes"))
+    starts = hashed.select(
+        "key", "hashes", F.explode(_starts(F.col("hashes"), min([*short, window]))).alias("start")
     )
-    for width in short:
-        hashes = _hashes(F.col("words"), width)
-        full = full.unionByName(
-            df.select("key", F.explode(F.array_distinct(hashes)).alias("fingerprint"))
-        )
-    return full
+    # Word 0 is the one before the window, and gram 0 begins there.
+    word = [F.get("hashes", F.col("start") - 2 + k).alias(f"word{k}") for k in range(window + 1)]
+    words = starts.select("key", "start", F.size("hashes").alias("n"), *word)
+    made = [
+        reduce(
+            Column.bitwiseXOR, [F.shiftleft(f"word{first + k}", k) for k in range(gram)]
+        ).alias(f"gram{first}")
+        for first in range(window - gram + 2)
+    ]
+    whole = [
+        F.when(
+            F.col("start") <= F.col("n") - width + 1,
+            F.xxhash64(F.lit(width), F.array(*[f"word{k + 1}" for k in range(width)])),
+        ).alias(f"whole{width}")
+        for width in short
+    ]
+    grams = words.select("key", "start", "n", *made, *whole)
+    names = [f"gram{k}" for k in range(window - gram + 2)]
+    least = grams.select(
+        "*", _least(names[:-1]).alias("before"), _least(names[1:]).alias("least")
+    )
+    new = (F.col("start") == 1) | (F.col("before") != F.col("least"))
+    full = F.when((F.col("start") <= F.col("n") - window + 1) & new, F.col("least"))
+    # Behind a generator no filter on the result computes it a second time.
+    found = F.explode(F.array(full, *[f"whole{width}" for width in short]))
+    return least.select("key", found.alias("fingerprint")).where("fingerprint is not null")
+
+
+def _least(names: list[str]) -> Column:
+    return F.least(*names) if len(names) > 1 else F.col(names[0])
 
 
 def _windows(df: DataFrame, widths: list[int]) -> DataFrame:
@@ -104,12 +131,13 @@ def contamination(
     rows = docs.select(
         row_key(id_column, text).alias("key"),
         docs[id_column].alias("doc_id"),
-        words_of(docs[text]).alias("words"),
+        docs[text].alias("text"),
     )
+    words = words_of(F.col("text")).alias("words")
     items = stored(
         benchmark.select(
             F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("key"),
-            words_of(F.col("text")).alias("words"),
+            words,
         ).where(F.size("words") > 0),
         "items",
     )
@@ -119,7 +147,7 @@ def contamination(
         _fingerprints(items.where(F.size("words") >= window), window, gram, [])
         .unionByName(
             items.where(F.size("words") < window).select(
-                "key", F.xxhash64(F.size("words"), F.col("words")).alias("fingerprint")
+                "key", F.xxhash64(F.size("words"), _hashes(F.col("words"))).alias("fingerprint")
             )
         )
         .select("fingerprint")
@@ -139,14 +167,14 @@ def contamination(
         "windows",
     )
     suspects = stored(
-        _fingerprints(rows, window, gram, short)
+        _fingerprints(rows.select("key", words), window, gram, short)
         .join(known, "fingerprint", "left_semi")
         .select("key")
         .distinct(),
         "suspects",
     )
     hits = (
-        _windows(rows.join(suspects, "key", "left_semi"), widths)
+        _windows(rows.join(suspects, "key", "left_semi").select("key", words), widths)
         .join(item_windows.select("width", "window").distinct(), ["width", "window"], "left_semi")
         .distinct()
     )
@@ -162,7 +190,8 @@ def contamination(
     per_item = found.groupBy("key").agg(
         F.size(ids).cast("bigint").alias("n_items"), F.concat_ws(",", ids).alias("_items")
     )
-    result = rows.select("key", "doc_id", F.size("words").cast("bigint").alias("n_words"))
+    n_words = F.size(_as_written(F.col("text"))).cast("bigint").alias("n_words")
+    result = rows.select("key", "doc_id", n_words)
     return (
         result.join(per_row.join(per_item, "key"), "key", "left")
         .select(

@@ -458,3 +458,63 @@ def test_pipeline(spark):
     assert [name for name, _ in corpus_pipeline.STAGES][-1] == "best_fit_packing"
     assert packed.select("doc_id").distinct().count() < before.count()
     assert packed.join(before, "doc_id", "left_anti").count() == 0
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = ["a", "B", "É", "é", "ÉTÉ", "été", "K", "k", "İx", "ΑΣ", "日本", "Zz9"]
+    marks = [" ", ", ", "'", "\n", "-"]
+
+    def text(n):
+        return "".join(str(rng.choice(vocabulary)) + str(rng.choice(marks)) for _ in range(n))
+
+    passages = [text(n) for n in (30, 12, 10)]
+    own = [(i, text(int(n))) for i, n in enumerate(rng.integers(0, 60, 40))]
+    own += [
+        (i + 100, t + p.upper().replace("İX", "İx") + t)
+        for i, (_, t) in enumerate(own)
+        for p in passages[i % 4 :][:1]
+    ]
+    own += [(500, "a " * 200), (501, "...no word of it"), (502, passages[0] * 3), (None, passages[1])]
+    items = [(i, p) for i, p in enumerate(passages)]
+    items += [(10 + n, text(n)) for n in (2, 3, 4, 7, 9, 11)] + [(20, "a " * 10), (21, "été k"), (22, "")]
+
+    def words(t):
+        return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.encode().translate(LOWER))
+
+    holders = defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        width = min(10, len(w))
+        for k in range(len(w) - width + 1 if w else 0):
+            holders[tuple(w[k : k + width])].add(str(i))
+    expected = Counter()
+    for i, t in own:
+        w, hit, ids = words(t), set(), set()
+        for width in {len(x) for x in holders}:
+            for k in range(len(w) - width + 1):
+                if found_in := holders.get(tuple(w[k : k + width])):
+                    hit.update(range(k, k + width))
+                    ids |= found_in
+        sha = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        expected[i, len(w), len(hit), len(ids), sha, bool(hit)] += 1
+    assert sum(n for (*_, hit), n in expected.items() if hit) > 30
+    got = decontamination.contamination(
+        spark.createDataFrame(own, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert found(got, *names) == expected
+
+
+def test_fingerprints_in_compiled_code(spark, capsys):
+    """Texts are cut once, and no array is sliced; methods are small enough for the JVM to compile."""
+    own = spark.createDataFrame([(1, "A b c " * 9), (2, None)], "key long, text string")
+    rows = own.select("key", decontamination.words_of(own["text"]).alias("words"))
+    made = decontamination._fingerprints(rows, 10, 5, [2, 7])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
+    assert "slice(" not in plan
+    made.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
