@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from ..operators.storage import stored
 from .arrays import (
+    compress_text,
+    decompress_text,
     joined_words,
     lower_ascii,
     mix,
@@ -36,7 +38,7 @@ from .arrays import (
     unpack,
     whole_windows,
 )
-from .repeats import range_bounds
+from .repeats import part_of, range_bounds
 from .rows import cogroup_batches, group_batches, map_batches, partitions
 
 LONGEST = 3
@@ -75,14 +77,49 @@ class _Phrases:
             return at, mix(self.words[at])
         return at, rolling_hashes(self.words, size)[at]
 
+
+class _Spelled:
+    """All words of slices of texts, with a number for each different word."""
+
+    def __init__(self, slices: list[_Phrases]) -> None:
+        joined = [joined_words(p.data, p.starts, p.ends) for p in slices]
+        words = [
+            pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(firsts) - 1, [None, pa.py_buffer(firsts), pa.py_buffer(flat)]
+            )
+            for flat, firsts in joined
+        ]
+        coded = pa.chunked_array(words, pa.large_binary()).dictionary_encode().unify_dictionaries()
+        self.numbers = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+        self.flat = np.concatenate([flat for flat, _ in joined])
+        self.firsts = np.append(0, np.cumsum(np.concatenate([np.diff(firsts) for _, firsts in joined])))
+
+    def distinct(
+        self, at: np.ndarray, hashes: np.ndarray, size: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of phrases in the order of their hashes: a first word and the hash of each text, and how often.
+
+        Equal hashes are compared word by word.
+        """
+        if not len(at):
+            return at, hashes, np.zeros(0, np.int64)
+        same = np.append(False, hashes[1:] == hashes[:-1])
+        words = np.stack([self.numbers[at + k] for k in range(size)])
+        equal = np.append(False, (words[:, 1:] == words[:, :-1]).all(axis=0))
+        if (same & ~equal).any():  # texts that share a hash
+            order = np.lexsort((*words, hashes))
+            at, hashes, words = at[order], hashes[order], words[:, order]
+            equal = np.append(False, (words[:, 1:] == words[:, :-1]).all(axis=0))
+        starts = np.flatnonzero(~equal)
+        return at[starts], hashes[starts], np.diff(np.append(starts, len(at)))
+
     def texts(self, at: np.ndarray, size: int) -> pa.Array:
         """The phrases of `size` words from these words on, joined by one space."""
-        flat, firsts = joined_words(self.data, self.starts, self.ends)
-        low, high = firsts[at], firsts[at + size] - 1
+        low, high = self.firsts[at], self.firsts[at + size] - 1
         offsets = np.append(0, np.cumsum(high - low))
         spots = np.arange(int(offsets[-1])) + np.repeat(low - offsets[:-1], high - low)
         return pa.LargeStringArray.from_buffers(
-            len(at), pa.py_buffer(offsets), pa.py_buffer(flat[spots])
+            len(at), pa.py_buffer(offsets), pa.py_buffer(self.flat[spots])
         )
 
 
@@ -120,14 +157,40 @@ def shard_words(rows: DataFrame) -> DataFrame:
     return made.groupBy("lang", "shard").agg(*sums)
 
 
-def mined(rows: DataFrame, supports: DataFrame, parts: int, longest: int) -> DataFrame:
-    """place, lang, found: the hashes of a place's phrases that are locally frequent in some shard.
+def _packed(by_language: list[tuple]) -> bytes:
+    """Arrays of each language, of equal length in a language, as one blob."""
+    lengths = np.array([len(arrays[0]) for _, *arrays in by_language])
+    joined = [np.concatenate(column) for column in zip(*(arrays for _, *arrays in by_language), strict=True)]
+    return pack(lengths, *joined)
+
+
+def _unpacked(blob: bytes) -> Iterator[list[np.ndarray]]:
+    """The arrays of each language."""
+    lengths, *joined = unpack(blob)
+    bounds = np.append(0, np.cumsum(lengths.astype(np.int64)))
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        yield [values[low:high] for values in joined]
+
+
+def _unpacked_by_language(langs: pa.ChunkedArray, blobs: pa.ChunkedArray) -> dict[str, list[tuple]]:
+    """Of each language: the number of the blob, and its arrays there."""
+    found: dict[str, list[tuple]] = {}
+    for i, (names, blob) in enumerate(zip(langs.to_pylist(), blobs, strict=True)):
+        for lang, arrays in zip(names, _unpacked(blob.as_py()), strict=True):
+            found.setdefault(lang, []).append((i, *arrays))
+    return found
+
 
-    rows: place, lang, text. supports: lang, shard, support.
+def mined(rows: DataFrame, supports: DataFrame, parts: int, longest: int, least: int) -> DataFrame:
+    """place, langs, found: the hashes of a place's phrases that are locally frequent in some shard.
+
+    Without those that occur fewer than `least` times in all. rows: place, lang, text. supports: lang,
+    shard, support.
     """
 
     def count(table: pa.Table) -> Iterator[dict]:
         place = table.column("place")[0].as_py()
+        cut: list[list[tuple]] = [[] for _ in range(parts)]
         for lang, own in _by_language(table):
             hashes = [
                 phrases.hashed(size)[1]
@@ -138,49 +201,54 @@ def mined(rows: DataFrame, supports: DataFrame, parts: int, longest: int) -> Dat
             distinct, times = np.unique(np.concatenate(hashes), return_counts=True)
             del hashes
             bounds = range_bounds(distinct, parts)
-            filled = np.flatnonzero(np.diff(bounds))
-            blobs = [
-                pack(distinct[bounds[p] : bounds[p + 1]], times[bounds[p] : bounds[p + 1]])
-                for p in filled
-            ]
-            yield {
-                "part": filled,
-                "place": np.full(len(filled), place),
-                "lang": [lang] * len(filled),
-                "counted": blobs,
-            }
+            for p in np.flatnonzero(np.diff(bounds)):
+                low, high = bounds[p], bounds[p + 1]
+                cut[p].append((lang, distinct[low:high], times[low:high]))
+        filled = [p for p in range(parts) if cut[p]]
+        yield {
+            "part": filled,
+            "place": np.full(len(filled), place),
+            "langs": [[lang for lang, *_ in cut[p]] for p in filled],
+            "counted": [_packed(cut[p]) for p in filled],
+        }
 
     def unite(counted: pa.Table, supports: pa.Table) -> Iterator[dict]:
         local = {(r["lang"], r["shard"]): r["support"] for r in supports.to_pylist()}
-        for lang, own in _by_language(counted):
-            places = own.column("place").to_pylist()
-            blobs = [unpack(b.as_py()) for b in own.column("counted")]
+        places = counted.column("place").to_pylist()
+        found: list[list[tuple]] = [[] for _ in places]
+        by_language = _unpacked_by_language(counted.column("langs"), counted.column("counted"))
+        for lang, blobs in by_language.items():
             frequent = []
             for shard in range(SHARDS):
-                some = [b for p, b in zip(places, blobs, strict=True) if p % SHARDS == shard]
+                some = [b for i, *b in blobs if places[i] % SHARDS == shard]
                 if some:
                     frequent.append(_frequent(some, local[lang, shard]))
             union = np.unique(np.concatenate(frequent))
-            hits = [_members(hashes, union) for hashes, _ in blobs]
-            some = [i for i, hit in enumerate(hits) if hit.any()]
-            yield {
-                "place": [places[i] for i in some],
-                "lang": [lang] * len(some),
-                "found": [pack(blobs[i][0][hits[i]]) for i in some],
-            }
-
-    counted = group_batches(rows, "place", count, "part int, place int, lang string, counted binary")
+            union = union[_members(union, _frequent([b for _, *b in blobs], least))]
+            for i, hashes, _ in blobs:
+                hit = _members(hashes, union)
+                if hit.any():
+                    found[i].append((lang, hashes[hit]))
+        filled = [i for i in range(len(places)) if found[i]]
+        yield {
+            "place": [places[i] for i in filled],
+            "langs": [[lang for lang, _ in found[i]] for i in filled],
+            "found": [_packed(found[i]) for i in filled],
+        }
+
+    schema = "part int, place int, langs array<string>, counted binary"
+    counted = group_batches(rows, "place", count, schema)
     return cogroup_batches(
         counted,
         supports.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))),
         "part",
         unite,
-        "place int, lang string, found binary",
+        "place int, langs array<string>, found binary",
     )
 
 
 def _frequent(blobs: list[list[np.ndarray]], support: int) -> np.ndarray:
-    """Hashes whose counts in one shard's blobs reach its support."""
+    """Hashes whose counts in these blobs reach the support."""
     hashes = np.concatenate([b[0] for b in blobs])
     times = np.concatenate([b[1] for b in blobs])
     order = np.argsort(hashes)
@@ -195,39 +263,107 @@ def _members(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def phrase_counts(rows: DataFrame, found: DataFrame, longest: int) -> DataFrame:
-    """lang, size, phrase, a: how often each phrase whose hash was found occurs in all rows."""
+def _text_bytes(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts one after another, and the bounds of each."""
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    flat = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return flat[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def _summed(pieces: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Each phrase once, and how often it occurs in all pieces of phrases and times."""
+    coded = pa.concat_arrays([phrase for phrase, _ in pieces]).dictionary_encode()
+    sums = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(sums, coded.indices.to_numpy(), np.concatenate([times for _, times in pieces]))
+    return coded.dictionary, sums
+
+
+def phrase_counts(
+    rows: DataFrame, found: DataFrame, parts: int, longest: int, least: int
+) -> DataFrame:
+    """lang, size, phrase, a: how often each phrase whose hash was found occurs in all rows.
+
+    Without phrases that occur fewer than `least` times.
+    """
 
     def count(texts: pa.Table, found: pa.Table) -> Iterator[dict]:
-        wanted = dict(_by_language(found))
+        wanted = _unpacked_by_language(found.column("langs"), found.column("found"))
         shift = np.uint64(64 - _SIEVE_BITS)
+        cut: list[list[tuple]] = [[] for _ in range(parts)]
         for lang, own in _by_language(texts):
             if lang not in wanted:
                 continue
-            union = np.sort(np.concatenate([unpack(b.as_py())[0] for b in wanted[lang].column("found")]))
+            union = np.sort(np.concatenate([hashes for _, hashes in wanted[lang]]))
             sieve = np.zeros(1 << _SIEVE_BITS, bool)
             sieve[(union >> shift).astype(np.int64)] = True
-            seen: dict[int, list[pa.Array]] = {size: [] for size in range(1, longest + 1)}
-            for _, _, data, offsets in text_slices(own.column("text")):
-                phrases = _Phrases(data, offsets)
-                for size, held in seen.items():
+            slices = [_Phrases(data, offsets) for _, _, data, offsets in text_slices(own.column("text"))]
+            bases = np.cumsum([0] + [len(p.starts) for p in slices])
+            spelled = _Spelled(slices)
+            seen: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+            for size in range(1, longest + 1):
+                some = []
+                for base, phrases in zip(bases[:-1], slices, strict=True):
                     at, hashes = phrases.hashed(size)
                     maybe = np.flatnonzero(sieve[(hashes >> shift).astype(np.int64)])
-                    maybe = maybe[_members(hashes[maybe], union)]
-                    held.append(phrases.texts(at[maybe], size))
-            for size, held in seen.items():
-                counts = pa.chunked_array(held, pa.large_string()).value_counts()
-                yield {
-                    "lang": [lang] * len(counts),
-                    "size": np.full(len(counts), size),
-                    "phrase": counts.field("values").cast(pa.string()),
-                    "times": counts.field("counts"),
-                }
+                    some.append((at[maybe] + base, hashes[maybe]))
+                at, hashes = (np.concatenate(column) for column in zip(*some, strict=True))
+                # sorted, they are looked up near each other
+                order = np.argsort(hashes)
+                at, hashes = at[order], hashes[order]
+                hit = _members(hashes, union)
+                at, hashes, times = spelled.distinct(at[hit], hashes[hit], size)
+                seen.append((spelled.texts(at, size), hashes, times))
+            phrase = pa.concat_arrays([texts for texts, _, _ in seen])
+            hashes, times = (np.concatenate([s[i] for s in seen]) for i in (1, 2))
+            part = part_of(hashes, parts)
+            order = np.argsort(part, kind="stable")
+            flat, bounds = _text_bytes(phrase.take(pa.array(order)))
+            lengths, times = np.diff(bounds), times[order]
+            ends = np.searchsorted(part[order], np.arange(parts + 1))
+            for p in np.flatnonzero(np.diff(ends)):
+                low, high = ends[p], ends[p + 1]
+                text = flat[bounds[low] : bounds[high]].tobytes()
+                cut[p].append((lang, lengths[low:high], times[low:high], text))
+        filled = [p for p in range(parts) if cut[p]]
+        yield {
+            "part": filled,
+            "langs": [[lang for lang, *_ in cut[p]] for p in filled],
+            "counted": [_packed([c[:3] for c in cut[p]]) for p in filled],
+            "texts": [compress_text(b"".join(c[3] for c in cut[p])) for p in filled],
+        }
+
+    def total(counted: pa.Table) -> Iterator[dict]:
+        texts = [decompress_text(t.as_py()) for t in counted.column("texts")]
+        read = [0] * len(texts)
+        by_language: dict[str, list[tuple]] = {}
+        # the languages of a blob follow one another in its text
+        for i, (langs, blob) in enumerate(
+            zip(counted.column("langs").to_pylist(), counted.column("counted"), strict=True)
+        ):
+            for lang, (lengths, times) in zip(langs, _unpacked(blob.as_py()), strict=True):
+                offsets = np.append(0, np.cumsum(lengths.astype(np.int64)))
+                text = texts[i][read[i] : read[i] + int(offsets[-1])]
+                read[i] += int(offsets[-1])
+                phrase = pa.LargeStringArray.from_buffers(
+                    len(lengths), pa.py_buffer(offsets), pa.py_buffer(text)
+                )
+                by_language.setdefault(lang, []).append((phrase, times.astype(np.int64)))
+        for lang, pieces in by_language.items():
+            phrase, sums = _summed(pieces)
+            enough = sums >= least
+            phrase = phrase.filter(pa.array(enough))
+            yield {
+                "lang": [lang] * len(phrase),
+                "size": pc.add(pc.count_substring(phrase, " "), 1),
+                "phrase": phrase,
+                "a": sums[enough],
+            }
 
-    made = cogroup_batches(
-        rows, found, "place", count, "lang string, size int, phrase string, times long"
+    counted = cogroup_batches(
+        rows, found, "place", count, "part int, langs array<string>, counted binary, texts binary"
     )
-    return made.groupBy("lang", "size", "phrase").agg(F.sum("times").alias("a"))
+    return group_batches(counted, "part", total, "lang string, size int, phrase string, a long")
 
 
 def scored(counts: DataFrame) -> DataFrame:
@@ -303,8 +439,8 @@ def collocations(
     support = F.greatest(F.lit(1), F.expr(f"({least} * words + n - 1) div greatest(n, 1)"))
     supports = words.join(totals, "lang").select("lang", "shard", support.alias("support"))
     rows = _dealt(docs, id_column, text, lang, places)
-    found = mined(rows, stored(supports, "supports"), places, longest)
-    counts = stored(phrase_counts(rows, found, longest).where(F.col("a") >= least), "counts")
+    found = mined(rows, stored(supports, "supports"), places, longest, least)
+    counts = stored(phrase_counts(rows, found, places, longest, least), "counts")
     candidates = stored(scored(counts), "candidates")
     left = outside_longer(candidates, INSIDE).withColumn(
         "_salt", F.pmod(F.xxhash64("phrase"), F.lit(partitions(spark)))

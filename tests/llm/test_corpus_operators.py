@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import database, differences
@@ -274,3 +275,44 @@ def test_scores_past_64_bits(spark):
     counts = spark.createDataFrame(rows, "lang string, size int, phrase string, a long")
     found_score = collocations.scored(counts).first()
     assert found_score.score == 1_000_000 * big * big // ((big + 3) * (big + 1))
+
+
+def test_phrases_of_one_hash_are_counted_by_their_words():
+    """One text is built for each different phrase, also where phrases share a hash."""
+    given = pa.chunked_array([pa.array(["a b a b é b\ta b. a  b, A b c c c c"]), pa.array(["a b", ""])])
+    slices = [collocations._Phrases(d, o) for _, _, d, o in collocations.text_slices(given)]
+    bases = np.cumsum([0] + [len(p.starts) for p in slices])
+    spelled = collocations._Spelled(slices)
+    pieces = ["a b a b é b a b", "a b", "a b c c c c", "a b"]
+    for size in (1, 2, 3):
+        hashed = [(at + base, h) for base, p in zip(bases, slices) for at, h in (p.hashed(size),)]
+        at, hashes = (np.concatenate(c) for c in zip(*hashed))
+        words = [piece.split(" ") for piece in pieces]
+        expected = Counter(
+            " ".join(w[i : i + size]) for w in words for i in range(len(w) - size + 1)
+        )
+        for few in (64, 1, 0):  # bits of the hashes that are left
+            short = hashes >> np.uint64(64 - few) if few else np.zeros(len(hashes), np.uint64)
+            order = np.argsort(short, kind="stable")
+            firsts, own, times = spelled.distinct(at[order], short[order], size)
+            texts = spelled.texts(firsts, size).to_pylist()
+            assert len(set(texts)) == len(texts) == len(own)
+            assert dict(zip(texts, map(int, times))) == expected
+
+
+def test_one_blob_for_all_languages_of_a_place_and_a_range(spark, monkeypatch):
+    """Places and ranges exchange one row each, and only phrases that are frequent in all come back."""
+    rows = [(p, lang, f"{word} x{p}") for p in range(3) for lang, word in (("en", "ab"), ("fr", "cd"))]
+    texts = spark.createDataFrame(rows, "place int, lang string, text string")
+    supports = spark.createDataFrame(
+        [(lang, s, 1) for lang in ("en", "fr") for s in range(3)], "lang string, shard int, support long"
+    )
+    found = collocations.mined(texts, supports, 1, 2, 3).collect()
+    assert sorted(r.place for r in found) == [0, 1, 2]
+    for row in found:
+        assert sorted(row.langs) == ["en", "fr"]
+        # of ab, x0, ab x0 only the first occurs three times
+        assert [len(hashes) for hashes, in collocations._unpacked(row.found)] == [1, 1]
+    mined = collocations.mined(texts, supports, 1, 2, 3)
+    counts = collocations.phrase_counts(texts, mined, 1, 2, 3).collect()
+    assert sorted(map(tuple, counts)) == [("en", 1, "ab", 3), ("fr", 1, "cd", 3)]
