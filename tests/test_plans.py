@@ -685,3 +685,50 @@ def test_lines_are_read_in_several_splits_for_each_core(spark):
     (file,) = lines.inputFiles()
     assert pq.ParquetFile(file.removeprefix("file://")).metadata.num_row_groups > 4
     assert lines.count() == 400_000
+
+
+def test_of_large_services_only_unusual_codes_are_joined(spark, monkeypatch):
+    """A code of several rows, of none or with another key is listed; the other keys are computed."""
+    import hashlib
+
+    def key(code):
+        return hashlib.md5(code.encode()).hexdigest()
+
+    rows = [("A", key("A")), ("B", key("B")), ("B", key("B")), ("C", "other"), ("E", key("E"))]
+    services = spark.createDataFrame(rows, "cpt_code string, service_key string")
+    codes = ["A", "A", "B", "C", "D", None]
+    fields = """rate_schedule_id string, contract_id string, payer_id string, provider_npi string,
+        rate_line_number bigint, cpt_code string, rate_amount decimal(12,2), normalized_rate decimal(12,2),
+        rate_type string, rate_unit string, rate_modifier string, rate_status string,
+        contract_status string, service_category string, service_category_name string, description string,
+        rate_effective_date date, contract_effective_date date, contract_termination_date date,
+        _loaded_at timestamp"""
+    lines = [(f"{i:032x}", f"C{i}", "p", "n", i, c, *[None] * 14) for i, c in enumerate(codes)]
+    rates = spark.createDataFrame(lines, fields)
+    providers = spark.createDataFrame([("pk", "n")], "provider_key string, provider_npi string")
+    payers = spark.createDataFrame([("yk", "p")], "payer_key string, payer_id string")
+    dates = spark.createDataFrame([], "full_date date, date_key int")
+
+    def fact():
+        made = marts.fact_contracted_rates(rates, providers, payers, services, dates, buckets=2)
+        return sorted(map(tuple, made.select("rate_key", "cpt_code", "service_key").collect()), key=repr)
+
+    monkeypatch.setattr(marts, "is_small", lambda table: True)
+    expected = fact()
+    assert [r[1:] for r in sorted(expected, key=lambda r: repr(r[1:]))] == [
+        ("A", key("A")), ("A", key("A")), ("B", key("B")), ("B", key("B")), ("C", "other"), ("D", None), (None, None)
+    ]
+    # the listed codes are few, whatever the services are
+    listed = []
+    whole = marts._listed_services
+    monkeypatch.setattr(marts, "_listed_services", lambda *a: listed.append(whole(*a)) or listed[0])
+    monkeypatch.setattr(marts, "is_small", lambda table: "_listed" in table.columns)
+    assert fact() == expected
+    assert sorted((r.cpt_code, r.service_key) for r in listed[0].collect() if r.cpt_code != "D") == [
+        ("B", key("B")), ("B", key("B")), ("C", "other")
+    ]
+    assert listed[0].where("cpt_code = 'D' AND service_key IS NULL").count() == 1
+    # nor does it matter if these are many
+    listed.clear()
+    monkeypatch.setattr(marts, "is_small", lambda table: False)
+    assert fact() == expected
